@@ -1,0 +1 @@
+"""No streams: every input is bounded by its snapshot date, so there is nothing to build here."""
