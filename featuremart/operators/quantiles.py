@@ -19,20 +19,24 @@ from .schema import quoted
 
 def _bracketed_counts(
     df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], accuracy: int
-) -> tuple[DataFrame, DataFrame]:
-    """Per (keys, i): the sketch, and counts of values by value inside bracket i; all values below
-    the bracket share one row with a null value."""
+) -> DataFrame:
+    """Per (keys, i): counts of values by value inside bracket i; all values below the bracket share
+    one row with a null value."""
     margin = 4.0 / accuracy
     low = [max(0.0, p - margin) for p in probs]
     high = [min(1.0, p + margin) for p in probs]
 
     def sketch(ps):
-        return F.percentile_approx(F.col(value), F.array(*map(F.lit, ps)), F.lit(accuracy))
+        return F.percentile_approx("_v", F.array(*map(F.lit, ps)), F.lit(accuracy))
 
     cols = [quoted(k) for k in keys]
     rows = df.select(*cols, quoted(value).alias("_v")).filter(F.col("_v").isNotNull())
-    brackets = rows.withColumnRenamed("_v", value).groupBy(*cols).agg(
-        F.count(F.lit(1)).alias("_n"), sketch(low).alias("_low"), sketch(high).alias("_high")
+    # A group with fewer rows than the sketch has steps is ordered whole.
+    small = F.count(F.lit(1)) < accuracy
+    brackets = rows.groupBy(*cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.when(small, F.array_repeat(F.min("_v"), len(probs))).otherwise(sketch(low)).alias("_low"),
+        F.when(small, F.array_repeat(F.max("_v"), len(probs))).otherwise(sketch(high)).alias("_high"),
     )
     if keys:
         brackets = small_side(brackets)
@@ -53,7 +57,7 @@ def _bracketed_counts(
         .groupBy(*cols, "_i", "_n", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    return brackets, counts
+    return counts
 
 
 def order_statistics(
@@ -70,7 +74,7 @@ def order_statistics(
     left out. The share of a group that is ordered in one task is about ``8 / accuracy`` of its
     distinct values; raise ``accuracy`` with the size of the groups.
     """
-    _, counts = _bracketed_counts(df, value, probs, keys, accuracy)
+    counts = _bracketed_counts(df, value, probs, keys, accuracy)
     cols = [quoted(k) for k in keys]
     p = F.element_at(F.array(*map(F.lit, probs)), F.col("_i") + 1)
     wanted = ranks(F.col("_n"), p)
