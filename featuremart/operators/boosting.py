@@ -95,37 +95,37 @@ def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
 
 
 def search(
-    train_rows: DataFrame,
-    val_rows: DataFrame,
+    rows: DataFrame,
     grid: Mapping[str, Sequence],
     label: str = LABEL,
     parallelism: int = 4,
+    split: str = "split",
 ) -> DataFrame:
-    """Fit every grid point on the training rows and score F1 at 0.5 on both parts.
+    """Fit every grid point on the rows of split 'train' and score F1 at 0.5 on 'train' and 'val'.
 
     One row per distinct candidate: candidate, params, train_f1, val_f1. Each fit is a set of Spark
-    jobs; a few candidates run at once. Both inputs are read once per candidate, so hand in written
-    or persisted tables.
+    jobs; a few candidates run at once, and both parts are scored in one pass. The rows are read
+    once per candidate, so hand in a written table.
     """
     usable = supported({k: None for k in grid})
     points = grid_points({k: grid[k] for k in usable})
+    train_rows = rows.filter(F.col(split) == "train")
+    judged_rows = rows.filter(F.col(split).isin("train", "val"))
 
     def run(point):
         model = train(train_rows, point, label)
-
-        def f1(rows):
-            judged = add_scores(model, rows).withColumn("_predicted", predicted_class(F.col(SCORE), 0.5))
-            return with_rates(confusion(judged, label, "_predicted")).first()["f1_score"]
-
-        return f1(train_rows), f1(val_rows)
+        judged = add_scores(model, judged_rows).withColumn("_predicted", predicted_class(F.col(SCORE), 0.5))
+        rates = with_rates(confusion(judged, label, "_predicted", [split])).select(split, "f1_score").collect()
+        f1 = {r[split]: r["f1_score"] for r in rates}
+        return f1.get("train"), f1.get("val")
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         results = list(pool.map(run, points))
-    rows = [
+    table = [
         (i, {k: str(v) for k, v in point.items()}, *f1s) for i, (point, f1s) in enumerate(zip(points, results))
     ]
-    return train_rows.sparkSession.createDataFrame(
-        rows, "candidate int, params map<string,string>, train_f1 double, val_f1 double"
+    return rows.sparkSession.createDataFrame(
+        table, "candidate int, params map<string,string>, train_f1 double, val_f1 double"
     )
 
 

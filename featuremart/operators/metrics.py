@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as s
@@ -13,15 +13,20 @@ from .schema import quoted
 GRID = s.ThresholdGrid()
 
 
-def confusion(df: DataFrame, actual: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn, tp in one pass; one row per group, one row in all without keys."""
+def confusion_counts(actual: str, predicted: str) -> list[Column]:
+    """The aggregates tn, fp, fn, tp."""
     a, p = F.col(actual), F.col(predicted)
-    return df.groupBy(*keys).agg(
+    return [
         F.count_if((a == 0) & (p == 0)).alias("tn"),
         F.count_if((a == 0) & (p == 1)).alias("fp"),
         F.count_if((a == 1) & (p == 0)).alias("fn"),
         F.count_if((a == 1) & (p == 1)).alias("tp"),
-    )
+    ]
+
+
+def confusion(df: DataFrame, actual: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
+    """tn, fp, fn, tp in one pass; one row per group, one row in all without keys."""
+    return df.groupBy(*keys).agg(*confusion_counts(actual, predicted))
 
 
 def with_rates(counts: DataFrame, beta: float = 1.5) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quantiles import linear_percentiles
@@ -15,16 +15,20 @@ PERCENTS = (10, 25, 50, 75, 90)
 VERY_LOW, VERY_HIGH = 0.01, 0.99
 
 
-def score_totals(df: DataFrame, score: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Row count, positives, positive rate, mean score and extreme scores in one aggregate."""
-    return df.groupBy(*keys).agg(
+def total_counts(score: str, predicted: str) -> list[Column]:
+    """The aggregates: row count, positives, positive rate, mean score, extreme scores."""
+    return [
         F.count(F.lit(1)).alias("total_predictions"),
         F.coalesce(F.sum(F.col(predicted).cast("long")), F.lit(0)).alias("positive_predictions"),
         F.avg(predicted).alias("positive_rate"),
         F.avg(score).alias("avg_prediction_proba"),
         F.count_if(F.col(score) < VERY_LOW).alias("very_low"),
         F.count_if(F.col(score) > VERY_HIGH).alias("very_high"),
-    )
+    ]
+
+
+def score_totals(df: DataFrame, score: str, predicted: str, keys: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*keys).agg(*total_counts(score, predicted))
 
 
 def score_percentiles(
@@ -41,17 +45,16 @@ def score_percentiles(
     )
 
 
+def missing_array(columns: Sequence[str]) -> Column:
+    """Aggregate: array of (column, missing) for the columns that have nulls."""
+    counts = [F.struct(F.lit(c).alias("column"), F.count_if(quoted(c).isNull()).alias("missing")) for c in columns]
+    return F.filter(F.array(*counts), lambda x: x["missing"] > 0)
+
+
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, missing) for the columns that have nulls; one pass over the table."""
-    columns = df.columns if columns is None else list(columns)
-    counted = df.agg(*[F.count_if(quoted(c).isNull()).alias(c) for c in columns])
-    return counted.select(
-        F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("column"), quoted(c).alias("missing")) for c in columns]
-            )
-        ).alias("x")
-    ).select("x.column", "x.missing").filter(F.col("missing") > 0)
+    counted = df.agg(missing_array(df.columns if columns is None else columns).alias("x"))
+    return counted.select(F.inline("x"))
 
 
 def table_shape(df: DataFrame) -> DataFrame:

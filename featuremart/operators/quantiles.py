@@ -26,17 +26,23 @@ def _bracketed_counts(
     low = [max(0.0, p - margin) for p in probs]
     high = [min(1.0, p + margin) for p in probs]
 
-    def sketch(ps):
-        return F.percentile_approx("_v", F.array(*map(F.lit, ps)), F.lit(accuracy))
-
     cols = [quoted(k) for k in keys]
     rows = df.select(*cols, quoted(value).alias("_v")).filter(F.col("_v").isNotNull())
-    # A group with fewer rows than the sketch has steps is ordered whole.
-    small = F.count(F.lit(1)) < accuracy
-    brackets = rows.groupBy(*cols).agg(
+    k = len(probs)
+    sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in low + high]), F.lit(accuracy))
+    sketched = rows.groupBy(*cols).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.when(small, F.array_repeat(F.min("_v"), len(probs))).otherwise(sketch(low)).alias("_low"),
-        F.when(small, F.array_repeat(F.max("_v"), len(probs))).otherwise(sketch(high)).alias("_high"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        sketch.alias("_sketch"),
+    )
+    # A group with fewer rows than the sketch has steps is ordered whole.
+    small = F.col("_n") < accuracy
+    brackets = sketched.select(
+        *cols,
+        "_n",
+        F.when(small, F.array_repeat("_min", k)).otherwise(F.slice("_sketch", 1, k)).alias("_low"),
+        F.when(small, F.array_repeat("_max", k)).otherwise(F.slice("_sketch", k + 1, k)).alias("_high"),
     )
     if keys:
         brackets = small_side(brackets)

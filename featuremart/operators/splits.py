@@ -161,7 +161,10 @@ def class_distribution(df: DataFrame, label: str = "label", split: str = "split"
 
 
 def split_report(df: DataFrame, split: str = "split") -> DataFrame:
-    """Rows and percentage per split. The total is taken over the few split rows."""
+    """Rows and percentage per split. The few split rows are put in one array for their total, so
+    the table is read once."""
     per_split = df.groupBy(split).agg(F.count(F.lit(1)).alias("rows"))
-    total = per_split.agg(F.sum("rows")).scalar()
-    return per_split.withColumn("percent", F.col("rows") * 100.0 / total)
+    gathered = per_split.agg(F.collect_list(F.struct(split, "rows")).alias("s"), F.sum("rows").alias("total"))
+    return gathered.select(F.explode("s").alias("s"), "total").select(
+        f"s.{split}", "s.rows", (F.col("s.rows") * 100.0 / F.col("total")).alias("percent")
+    )

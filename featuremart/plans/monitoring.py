@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators.boosting import SCORE
 from ..operators.imputation import as_struct
-from ..operators.metrics import confusion, roc_auc, with_rates
-from ..operators.profiling import missing_counts, score_percentiles, score_totals
+from ..operators.metrics import confusion_counts, roc_auc, with_rates
+from ..operators.profiling import missing_array, score_percentiles, total_counts
 
 # Fixed value: an AUC further than this from the baseline is an alert.
 AUC_TOLERANCE = 0.05
@@ -46,58 +46,54 @@ def monitoring_report(
     """One nested row about the predictions of one run.
 
     ``baseline_auc`` is what the current AUC is compared with, for example the AUC on the test split
-    when the model was trained; without it drift is not judged. The parts are one-row aggregates put
-    together as scalar subqueries.
+    when the model was trained; without it drift is not judged. All counts come from one aggregate;
+    the percentiles and the AUC need an order and come in as scalar subqueries.
     """
     has_labels = "actual_label" in predictions.columns
-    totals = score_totals(predictions, SCORE, "prediction_binary")
-    ids = predictions.agg(
-        F.min("model_run_id").alias("run_id"), F.min("threshold_used").alias("threshold_used")
-    )
-    missing = missing_counts(predictions).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("column", "missing"))))
-    )
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if timestamp is None else F.lit(timestamp)
-    report = totals.withColumns(
-        {
-            "_ids": as_struct(ids),
-            "prob_percentiles": as_struct(score_percentiles(predictions, SCORE, approximate=approximate_percentiles)),
-            "_missing": missing.scalar(),
-        }
-    ).select(
-        F.col("_ids.run_id").alias("run_id"),
+    counted = predictions.agg(
+        F.min("model_run_id").alias("run_id"),
+        F.min("threshold_used").alias("threshold_used"),
+        *total_counts(SCORE, "prediction_binary"),
+        F.map_from_entries(missing_array(predictions.columns)).alias("missing"),
+        *(confusion_counts("actual_label", "prediction_binary") if has_labels else []),
+    )
+    percentiles = score_percentiles(predictions, SCORE, approximate=approximate_percentiles)
+    report = counted.select(
+        "run_id",
         now.alias("monitoring_timestamp"),
         "total_predictions",
         "positive_predictions",
         "positive_rate",
         "avg_prediction_proba",
-        F.col("_ids.threshold_used").alias("threshold_used"),
-        "prob_percentiles",
+        "threshold_used",
+        as_struct(percentiles).alias("prob_percentiles"),
         F.lit(has_labels).alias("has_performance_metrics"),
         F.struct(
-            F.col("_missing").alias("missing_values"),
+            F.col("missing").alias("missing_values"),
             F.struct("very_low", "very_high").alias("extreme_probabilities"),
         ).alias("data_quality"),
-        has_quality_issues(F.size("_missing"), F.col("very_low"), F.col("very_high")).alias("data_quality_issues"),
+        has_quality_issues(F.size("missing"), F.col("very_low"), F.col("very_high")).alias("data_quality_issues"),
+        *(("tn", "fp", "fn", "tp") if has_labels else ()),
     )
     if not has_labels:
         return report.withColumn("drift_alerts", F.array().cast("array<string>"))
-    rates = as_struct(with_rates(confusion(predictions, "actual_label", "prediction_binary")))
-    auc = roc_auc(predictions, SCORE, "actual_label").scalar()
-    judged = report.withColumns({"_rates": rates, "auc_score": auc})
     if baseline_auc is None:
         alert = F.lit(None).cast("string")
     else:
         base = baseline_auc if isinstance(baseline_auc, Column) else F.lit(float(baseline_auc))
         alert = drift_message(F.col("auc_score"), base, tolerance)
-    parts = ("precision", "recall", "f1_score", "f15_score")
-    return judged.withColumns(
-        {
-            **{p: F.col(f"_rates.{p}") for p in parts},
-            "confusion_matrix": F.struct(*[F.col(f"_rates.{c}").alias(c) for c in ("tn", "fp", "fn", "tp")]),
-            "drift_alerts": F.array_compact(F.array(alert)),
-        }
-    ).drop("_rates")
+    return (
+        with_rates(report)
+        .withColumns(
+            {
+                "auc_score": roc_auc(predictions, SCORE, "actual_label").scalar(),
+                "confusion_matrix": F.struct("tn", "fp", "fn", "tp"),
+            }
+        )
+        .withColumn("drift_alerts", F.array_compact(F.array(alert)))
+        .drop("tn", "fp", "fn", "tp")
+    )
 
 
 def write_report(report: DataFrame, path: str) -> None:

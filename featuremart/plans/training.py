@@ -82,16 +82,19 @@ def train_run(
     vectors = cut(scaled_vectors(split, scaler, columns), "training-vectors")
     train, val, test = (vectors.filter(F.col("split") == s) for s in ("train", "val", "test"))
 
+    def scored(model, part):
+        """Label and score, written: the metrics read them several times."""
+        return cut(boosting.add_scores(model, part).select(label, SCORE), "scored")
+
     baseline = boosting.train(train, baseline_params, label)
-    baseline_results = boosting.evaluate(boosting.add_scores(baseline, val), label=label).first().asDict()
+    baseline_results = boosting.evaluate(scored(baseline, val), label=label).first().asDict()
 
-    candidates = boosting.search(train, val, grid or SMALL_GRID, label, parallelism)
+    candidates = boosting.search(vectors, grid or SMALL_GRID, label, parallelism)
     best_params = boosting.best_candidate(candidates)
     model = boosting.train(train, best_params, label)
 
-    curve = threshold_curve(boosting.add_scores(model, val), SCORE, label)
-    threshold = best_threshold(curve).first()["threshold"]
-    test_scored = boosting.add_scores(model, test)
+    threshold = best_threshold(threshold_curve(scored(model, val), SCORE, label)).first()["threshold"]
+    test_scored = scored(model, test)
     judged = test_scored.withColumn("predicted", predicted_class(F.col(SCORE), threshold))
     return TrainedRun(
         model=model,

@@ -19,7 +19,7 @@ FEATURES = ["n_chars", "words", "lines", "digits", "upper"]
 def document_rows(t: Tables):
     """Numbers about the whole text of each labelled document."""
     text = F.col("text")
-    rows = t.labels.join(t.documents, "doc_id").select(
+    return t.labels.join(t.documents, "doc_id").select(
         "doc_id",
         "lang",
         F.col("quality").alias("label"),
@@ -29,7 +29,6 @@ def document_rows(t: Tables):
         F.regexp_count(text, F.lit("[0-9]")).cast("double").alias("digits"),
         F.regexp_count(text, F.lit("[A-Z]")).cast("double").alias("upper"),
     )
-    return rows
 
 
 @query("gbt_train_score")
@@ -59,9 +58,7 @@ def vectors(t: Tables):
 
 @query("grid_search")
 def grid_search(t: Tables):
-    rows = vectors(t)
-    grid = {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "n_estimators": [5]}
-    return boosting.search(rows.filter("split = 'train'"), rows.filter("split = 'val'"), grid)
+    return boosting.search(vectors(t), {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "n_estimators": [5]})
 
 
 @query("feature_importance_topk")

@@ -22,6 +22,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# The schemas of the test tables, declared so that no job is spent on finding them.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 class Tables:
     """The test tables as attributes: ``t.orders`` reads ``<dir>/orders.parquet``."""
 
@@ -30,6 +45,6 @@ class Tables:
         self._dir = str(sf_dir).rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name not in SCHEMAS:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self._dir}/{name}.parquet")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.scores import predicted_class
+from featuremart.sources.scratch import cut
 
 from .registry import Tables
 
@@ -109,12 +110,13 @@ FIN_CLIPPED = ("num_of_loan", "delay_from_due_date")
 
 
 def raw_financials(t: Tables) -> DataFrame:
+    """A written table, as a bronze table is: the cleaner reads it several times."""
     text = lambda c: c.cast("string")
     low, high = F.min("o_totalprice"), F.max("o_totalprice")
     status, urgent, lazy = F.min("o_orderstatus"), F.min("o_orderpriority"), F.max("o_orderpriority")
     last_status = F.max("o_orderstatus")
     size = F.when(status == "F", "Small").when(status == "O", "Medium").otherwise("Huge")
-    return t.orders.groupBy(
+    raw = t.orders.groupBy(
         text(F.col("o_custkey")).alias("customer_id"),
         F.trunc("o_orderdate", "MM").alias("snapshot_date"),
     ).agg(
@@ -131,6 +133,7 @@ def raw_financials(t: Tables) -> DataFrame:
         F.concat(urgent, F.lit(", "), lazy, F.lit(", and "), status).alias("type_of_loan"),
         F.when(last_status == "P", "NM").when(last_status == "O", "Yes").otherwise("No").alias("payment_of_min_amount"),
     )
+    return cut(raw, "raw-financials")
 
 
 # ---- loan ledger: raw text per loan instalment
