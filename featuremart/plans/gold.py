@@ -137,8 +137,8 @@ def write_gold(
         labels,
         fit_customers=fit_customers,
     )
-    write_partitions(on_spine(features, dates), f"{gold_root}/feature_store")
-    write_partitions(on_spine(labels, dates), f"{gold_root}/label_store")
+    write_partitions(on_spine(features, dates), f"{gold_root}/feature_store", dates=dates)
+    write_partitions(on_spine(labels, dates), f"{gold_root}/label_store", dates=dates)
     return (
         read_partitions(spark, f"{gold_root}/feature_store", dates=dates),
         read_partitions(spark, f"{gold_root}/label_store", dates=dates),

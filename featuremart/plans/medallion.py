@@ -62,7 +62,7 @@ def write_bronze(
 ) -> None:
     """Slice one raw table into all its snapshot partitions with a single scan."""
     raw = lower_columns(read_raw_csv(spark, source))
-    write_partitions(slice_snapshots(raw, dates), f"{bronze_root}/{table}", fmt=fmt)
+    write_partitions(slice_snapshots(raw, dates), f"{bronze_root}/{table}", fmt=fmt, dates=dates)
 
 
 def layer_partition_log(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -196,12 +196,12 @@ def write_silver(
     table: str,
     bronze_root: str,
     silver_root: str,
-    dates: Iterable[str] | None = None,
+    dates: Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> list[str]:
     """Clean one bronze table for all the dates in one plan and write its silver tables."""
     bronze = read_partitions(spark, f"{bronze_root}/{table}", fmt, dates)
     outputs = clean(table, bronze)
     for name, df in outputs.items():
-        write_partitions(df, f"{silver_root}/{name}")
+        write_partitions(df, f"{silver_root}/{name}", dates=dates)
     return list(outputs)

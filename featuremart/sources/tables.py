@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import to_date
@@ -37,13 +37,21 @@ def write_partitions(
     by: str = SNAPSHOT,
     fmt: str = "parquet",
     rebalance: bool = True,
+    dates: Iterable[str] | None = None,
 ) -> None:
-    """Overwrite exactly the partitions present in ``df`` and leave the others as they are.
+    """Overwrite the partitions present in ``df`` and leave the others as they are.
+
+    ``dates`` names the partitions this write stands for: one of them that gets no rows loses what an
+    earlier run left there. Which dates got rows is observed during the write, without another pass.
 
     The rebalance hint gathers a date into few files and splits a date that holds a large share of
     the rows. Turn it off when the input already arrives grouped by date.
     """
     out = df.hint("rebalance", F.col(by)) if rebalance else df
+    seen = None
+    if dates is not None:
+        seen = Observation()
+        out = out.observe(seen, F.collect_set(F.col(by).cast("string")).alias("written"))
     writer = (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -53,6 +61,15 @@ def write_partitions(
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.save(path)
+    if seen is not None:
+        drop_partitions(df.sparkSession, path, set(dates) - set(seen.get["written"]), by)
+
+
+def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], by: str = SNAPSHOT) -> None:
+    """Remove whole partitions; one that does not exist is no error."""
+    for value in values:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_partitions(

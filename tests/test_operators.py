@@ -110,6 +110,15 @@ def test_approximate_caps_stay_within_the_rank_error(spark):
     assert abs(cap / 20_000 - 0.97) <= 0.011
 
 
+def test_approximate_caps_equal_approx_quantile(spark):
+    rnd = random.Random(2)
+    data = [(D(2023, 1 + i % 2, 1), rnd.expovariate(1)) for i in range(400)] + [(D(2023, 1, 1), None)]
+    df = spark.createDataFrame(data, "snapshot_date date, v double").coalesce(1)
+    caps = {r["snapshot_date"]: r["v"] for r in clipping.fit_caps(df, ["v"]).collect()}
+    for month, cap in caps.items():
+        assert [cap] == df.filter(F.col("snapshot_date") == month).approxQuantile("v", [0.97], 0.01)
+
+
 def test_large_fitted_tables_are_joined_without_broadcast(spark, monkeypatch):
     from featuremart.sources import scratch
 

@@ -30,6 +30,16 @@ def test_rewriting_a_partition_leaves_the_others(spark, dated, tmp_path, fmt):
         assert counts == {D(2023, 1, 1): 10, D(2023, 2, 1): 1, D(2023, 3, 1): 10}
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_a_date_without_rows_loses_its_old_partition(spark, dated, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    tables.write_partitions(dated, path, fmt=fmt)
+    only = dated.filter(F.col("snapshot_date") == "2023-02-01").limit(4)
+    tables.write_partitions(only, path, fmt=fmt, dates=["2023-02-01", "2023-03-01", "2023-04-01"])
+    counts = dict(rows(tables.partition_counts(tables.read_partitions(spark, path, fmt))))
+    assert counts == {D(2023, 1, 1): 10, D(2023, 2, 1): 4}
+
+
 def test_dates_prune_partitions(spark, dated, tmp_path):
     path = str(tmp_path / "t")
     tables.write_partitions(dated, path, rebalance=False)

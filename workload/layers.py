@@ -11,7 +11,7 @@ from featuremart.operators.schema import declare, fill_numeric, lower_columns
 from featuremart.operators.tokens import fit_tokens, long_token_counts, pivot_tokens
 from featuremart.plans import gold, silver
 from featuremart.sources import spine
-from featuremart.sources.scratch import scratch_dir
+from featuremart.sources.scratch import scratch_dir, small_side
 from featuremart.sources.tables import (
     partition_counts,
     read_partitions,
@@ -70,7 +70,7 @@ def partition_roundtrip(t: Tables):
     rows = month_orders(t).select("o_orderkey", "o_totalprice", "o_orderpriority", "snapshot_date")
     write_partitions(rows, root)
     again = rows.filter((F.year("snapshot_date") == 1997) & (F.col("o_orderpriority") == "1-URGENT"))
-    write_partitions(again, root)
+    write_partitions(again, root, dates=[f"1997-{m:02d}-01" for m in range(1, 13)])
     return read_partitions(t.spark, root)
 
 
@@ -303,20 +303,18 @@ def quantile_clip(t: Tables):
     "SELECT DISTINCT CAST(date_trunc('month', l_shipdate) AS DATE) AS snapshot_date, true AS within_error FROM lineitem",
 )
 def quantile_clip_approx(t: Tables):
-    """Caps from the sketch clip the column; the rank of each cap is then counted: the share of rows
-    below it may not exceed q, and the share up to it may not fall short, by more than the error."""
+    """Caps from the sketch; the rank of each cap is counted and has to lie within the error."""
     rows = t.lineitem.select("l_extendedprice", F.trunc("l_shipdate", "MM").alias("snapshot_date"))
     caps = fit_caps(rows, ["l_extendedprice"], q=0.97, relative_error=0.01)
-    clipped = clip_above(rows, caps, ["l_extendedprice"])
-    top = clipped.groupBy("snapshot_date").agg(
-        F.max("l_extendedprice").alias("cap"), F.count(F.lit(1)).alias("n")
-    )
-    below = clipped.groupBy("snapshot_date", "l_extendedprice").agg(F.count(F.lit(1)).alias("same"))
-    at_cap = below.join(top, "snapshot_date").groupBy("snapshot_date").agg(
-        F.max("n").alias("n"), F.sum(F.when(F.col("l_extendedprice") < F.col("cap"), F.col("same"))).alias("under")
+    price, cap = F.col("l_extendedprice"), F.col("cap")
+    ranks = (
+        rows.join(small_side(caps).withColumnRenamed("l_extendedprice", "cap"), "snapshot_date")
+        .groupBy("snapshot_date")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(price < cap).alias("below"), F.count_if(price <= cap).alias("upto"))
     )
-    share = F.col("under") / F.col("n")
-    return at_cap.select("snapshot_date", ((share <= 0.97 + 0.01) & (share >= 0.97 - 0.02)).alias("within_error"))
+    lowest, highest = F.floor((0.97 - 0.01) * F.col("n")), F.ceil((0.97 + 0.01) * F.col("n"))
+    within = (F.col("below") < highest) & (F.col("upto") >= lowest)
+    return ranks.select("snapshot_date", within.alias("within_error"))
 
 
 @query(
