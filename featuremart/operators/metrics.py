@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as s
+from .quantiles import sketch
 from .schema import quoted
 
 GRID = s.ThresholdGrid()
@@ -55,11 +56,7 @@ def roc_auc(
     rows = df.select(*keep, quoted(score).alias("_s"), quoted(label).alias("_y")).filter(
         F.col("_s").isNotNull() & F.col("_y").isNotNull()
     )
-    edges = rows.agg(
-        F.percentile_approx(
-            "_s", F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), F.lit(20 * buckets)
-        )
-    ).scalar()
+    edges = rows.agg(sketch("_s", [i / buckets for i in range(1, buckets)], 20 * buckets)).scalar()
     counts = (
         rows.groupBy(*keep, "_s")
         .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))

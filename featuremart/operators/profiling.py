@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import linear_percentiles
+from .quantiles import linear_percentiles, sketch
 from .schema import quoted
 
 # The percentiles and the score bounds a report looks at.
@@ -37,10 +37,9 @@ def score_percentiles(
     """p10 .. p90 of the score: exact with linear interpolation, or from one sketch."""
     if not approximate:
         return linear_percentiles(df, score, PERCENTS, keys)
-    sketch = F.percentile_approx(score, F.array(*[F.lit(p / 100) for p in PERCENTS]), F.lit(10_000))
     return (
         df.groupBy(*keys)
-        .agg(sketch.alias("_p"))
+        .agg(sketch(score, [p / 100 for p in PERCENTS], 10_000).alias("_p"))
         .select(*keys, *[F.get("_p", F.lit(i)).alias(f"p{p}") for i, p in enumerate(PERCENTS)])
     )
 

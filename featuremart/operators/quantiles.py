@@ -17,53 +17,69 @@ from ..sources.scratch import small_side
 from .schema import quoted
 
 
+def sketch(value: str, probs: Sequence[float], accuracy: int) -> Column:
+    """Approximate quantiles at the probabilities, as an array; the rank error is 1 / accuracy."""
+    points = ", ".join(f"{float(p)!r}D" for p in probs)
+    return F.expr(f"percentile_approx({value}, array({points}), {int(accuracy)})")
+
+
+def _brackets(rows: DataFrame, probs: Sequence[float], keys: Sequence[Column], accuracy: int) -> DataFrame:
+    """Per group: the row count, and for each probability a lower and an upper bound of its value."""
+    margin, k = 4.0 / accuracy, len(probs)
+    around = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    sketched = rows.groupBy(*keys).agg(
+        F.expr("count(1) AS _n"),
+        F.expr("min(_v) AS _min"),
+        F.expr("max(_v) AS _max"),
+        sketch("_v", around, accuracy).alias("_sketch"),
+    )
+    # A group with fewer rows than the sketch has steps is ordered whole.
+    return sketched.select(
+        *keys,
+        "_n",
+        F.expr(f"IF(_n < {accuracy}, array_repeat(_min, {k}), slice(_sketch, 1, {k})) AS _low"),
+        F.expr(f"IF(_n < {accuracy}, array_repeat(_max, {k}), slice(_sketch, {k + 1}, {k})) AS _high"),
+    )
+
+
 def _bracketed_counts(
     df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str], accuracy: int
 ) -> DataFrame:
     """Per (keys, i): counts of values by value inside bracket i; all values below the bracket share
-    one row with a null value."""
-    margin = 4.0 / accuracy
-    low = [max(0.0, p - margin) for p in probs]
-    high = [min(1.0, p + margin) for p in probs]
+    one row with a null value.
 
-    cols = [quoted(k) for k in keys]
-    rows = df.select(*cols, quoted(value).alias("_v")).filter(F.col("_v").isNotNull())
-    k = len(probs)
-    sketch = F.percentile_approx("_v", F.array(*[F.lit(p) for p in low + high]), F.lit(accuracy))
-    sketched = rows.groupBy(*cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-        sketch.alias("_sketch"),
-    )
-    # A group with fewer rows than the sketch has steps is ordered whole.
-    small = F.col("_n") < accuracy
-    brackets = sketched.select(
-        *cols,
-        "_n",
-        F.when(small, F.array_repeat("_min", k)).otherwise(F.slice("_sketch", 1, k)).alias("_low"),
-        F.when(small, F.array_repeat("_max", k)).otherwise(F.slice("_sketch", k + 1, k)).alias("_high"),
-    )
+    A value outside all brackets only matters by the gap it lies in, so the rows collapse to one
+    count per gap and one per value inside a bracket before anything is spread over the i.
+    """
+    cols, indexes = [quoted(k) for k in keys], range(len(probs))
+    rows = df.select(*cols, quoted(value).alias("_v")).filter("_v IS NOT NULL")
+    brackets = _brackets(rows, probs, cols, accuracy)
     if keys:
         brackets = small_side(brackets)
-        joined = rows.join(brackets, on=list(keys), how="inner")
+        attach = lambda x: x.join(brackets, on=list(keys), how="inner")
     else:
-        one = brackets.select(F.struct("_n", "_low", "_high").alias("b")).scalar()
-        joined = rows.withColumn("_b", one).select("_v", "_b._n", "_b._low", "_b._high")
-    indexes = F.array(*[F.lit(i) for i in range(len(probs))])
-    counts = (
-        joined.select(
-            *cols,
-            "_v",
-            "_n",
-            F.col("_low"),
-            F.explode(F.filter(indexes, lambda i: F.col("_v") <= F.get("_high", i))).alias("_i"),
-        )
-        .select(*cols, "_i", "_n", F.when(F.col("_v") >= F.get("_low", F.col("_i")), F.col("_v")).alias("_v"))
-        .groupBy(*cols, "_i", "_n", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        one = brackets.select(F.struct("_n", "_low", "_high")).scalar()
+        attach = lambda x: x.withColumn("_b", one).select("*", "_b.*").drop("_b")
+
+    inside = " OR ".join(f"_v BETWEEN _low[{i}] AND _high[{i}]" for i in indexes)
+    passed = " + ".join(f"IF(_high[{i}] < _v, 1, 0)" for i in indexes)
+    collapsed = (
+        attach(rows)
+        .groupBy(*cols, F.expr(f"IF({inside}, _v, NULL) AS _v"), F.expr(f"IF({inside}, NULL, {passed}) AS _gap"))
+        .agg(F.expr("count(1) AS _c"))
+    )
+    # Below bracket i: a null value. Above it: nothing.
+    spots = ", ".join(
+        f"CASE WHEN coalesce(_v < _low[{i}], _gap <= {i}) THEN named_struct('_i', {i}, '_v', CAST(NULL AS {{t}})) "
+        f"WHEN _v <= _high[{i}] THEN named_struct('_i', {i}, '_v', _v) END"
+        for i in indexes
+    ).format(t=rows.schema["_v"].dataType.simpleString())
+    return (
+        attach(collapsed)
+        .select(*cols, "_n", "_c", F.expr(f"explode(array_compact(array({spots}))) AS _s"))
+        .groupBy(*cols, "_n", "_s._i", "_s._v")
+        .agg(F.expr("sum(_c) AS _c"))
     )
-    return counts
 
 
 def order_statistics(

@@ -96,9 +96,10 @@ def stratified_split(
     """Add a column 'test', 'val' or 'train' with exact class proportions.
 
     Rows are ordered within their class by :func:`split_hash`; the first are test, the next
-    validation. ``key`` must be unique. Only the hash at each cut is searched for: rows are counted
-    per hash prefix, then rows are ranked in the one prefix that holds the cut. Assigning rows is a
-    comparison with the cuts of their class, without a shuffle.
+    validation. Rows that share a key and class stay together, so the sizes are exact when ``key`` is
+    unique. Only the hash at each cut is searched for: rows are counted per hash prefix, then rows
+    are ranked in the one prefix that holds the cut. Assigning rows is a comparison with the cuts of
+    their class, without a shuffle.
     """
     hashed = df.select(quoted(label).alias("_label"), split_hash(quoted(key), seed).alias("_hash")).filter(
         F.col("_label").isNotNull()

@@ -128,7 +128,7 @@ def run_all(
     features, labels = write_gold(
         spark, paths.silver, paths.gold, dates, windows.train_end.isoformat() if fit_on == "train" else None
     )
-    rows = labelled_rows(features, labels, windows)
+    rows = cut(labelled_rows(features, labels, windows), "labelled-rows")
     oot = rows.filter(F.col("window") == "oot")
     trained = train_run(rows.filter(F.col("window") == "train"), grid, baseline_params=baseline_params)
     model_path = save_run(spark, trained, run_id, paths.models, oot)
