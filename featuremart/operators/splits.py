@@ -127,14 +127,14 @@ def stratified_split(
 
     branch = None
     for l in labels:
-        row_hash = split_hash(quoted(key), seed)
         part = F.lit("train")
         for which in ("val", "test"):
             if (l, which) in last_hash:
-                part = F.when(row_hash <= F.lit(last_hash[(l, which)]), which).otherwise(part)
+                part = F.when(F.col("_hash") <= F.lit(last_hash[(l, which)]), which).otherwise(part)
         condition = quoted(label) == F.lit(l)
         branch = F.when(condition, part) if branch is None else branch.when(condition, part)
-    return df.withColumn(name, F.lit(None).cast("string") if branch is None else branch)
+    part = F.lit(None).cast("string") if branch is None else branch
+    return df.withColumn("_hash", split_hash(quoted(key), seed)).withColumn(name, part).drop("_hash")
 
 
 def _cut_hashes(hashed: DataFrame, prefix: Column, wanted: list) -> dict:

@@ -13,7 +13,7 @@ from ..operators.imputation import fit_means, impute_means
 from ..operators.pairing import semi_join
 from ..operators.pointintime import point_in_time_means
 from ..operators.schema import numeric_columns
-from ..sources.scratch import cut
+from ..sources.scratch import cut, scratch_scope
 from ..sources.tables import SNAPSHOT, read_partitions, write_partitions
 
 # Columns that are encoded, averaged or dropped, and the label definition.
@@ -128,16 +128,17 @@ def write_gold(
     fit_customers = None
     if fit_label_until is not None:
         fit_customers = labels.filter(F.col(SNAPSHOT) <= F.lit(fit_label_until).cast("date"))
-    features = build_features(
-        silver["attributes"],
-        silver["financials"],
-        silver["loan_type"],
-        silver["clickstream"],
-        silver["lms"],
-        labels,
-        fit_customers=fit_customers,
-    )
-    write_partitions(on_spine(features, dates), f"{gold_root}/feature_store", dates=dates)
+    with scratch_scope(spark):
+        features = build_features(
+            silver["attributes"],
+            silver["financials"],
+            silver["loan_type"],
+            silver["clickstream"],
+            silver["lms"],
+            labels,
+            fit_customers=fit_customers,
+        )
+        write_partitions(on_spine(features, dates), f"{gold_root}/feature_store", dates=dates)
     write_partitions(on_spine(labels, dates), f"{gold_root}/label_store", dates=dates)
     return (
         read_partitions(spark, f"{gold_root}/feature_store", dates=dates),

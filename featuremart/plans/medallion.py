@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.schema import lower_columns
 from ..operators.splits import TimeWindows
-from ..sources.scratch import cut
+from ..sources.scratch import cut, scratch_scope
 from ..sources.spine import spine_between
 from ..sources.tables import (
     SNAPSHOT,
@@ -128,10 +128,11 @@ def run_all(
     features, labels = write_gold(
         spark, paths.silver, paths.gold, dates, windows.train_end.isoformat() if fit_on == "train" else None
     )
-    rows = cut(labelled_rows(features, labels, windows), "labelled-rows")
-    oot = rows.filter(F.col("window") == "oot")
-    trained = train_run(rows.filter(F.col("window") == "train"), grid, baseline_params=baseline_params)
-    model_path = save_run(spark, trained, run_id, paths.models, oot)
+    with scratch_scope(spark):
+        rows = cut(labelled_rows(features, labels, windows), "labelled-rows")
+        oot = rows.filter(F.col("window") == "oot")
+        trained = train_run(rows.filter(F.col("window") == "train"), grid, baseline_params=baseline_params)
+        model_path = save_run(spark, trained, run_id, paths.models, oot)
 
     saved = load_run(spark, model_path)
     write_predictions(score_rows(saved, saved.oot, run_id), paths.predictions)

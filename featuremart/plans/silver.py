@@ -13,6 +13,7 @@ from ..functions import loans, parsing
 from ..operators.clipping import clip_above, fit_caps
 from ..operators.schema import KINDS, declare, fill_numeric, lower_columns, quoted
 from ..operators.tokens import fit_tokens, pivot_tokens
+from ..sources.scratch import scratch_scope
 from ..sources.tables import SNAPSHOT, read_partitions, write_partitions
 
 # The declared columns of the source tables.
@@ -199,9 +200,13 @@ def write_silver(
     dates: Sequence[str] | None = None,
     fmt: str = "parquet",
 ) -> list[str]:
-    """Clean one bronze table for all the dates in one plan and write its silver tables."""
+    """Clean one bronze table for all the dates in one plan and write its silver tables.
+
+    Bronze is laid out by date and cleaning does not shuffle, so neither does the write.
+    """
     bronze = read_partitions(spark, f"{bronze_root}/{table}", fmt, dates)
-    outputs = clean(table, bronze)
-    for name, df in outputs.items():
-        write_partitions(df, f"{silver_root}/{name}", dates=dates)
+    with scratch_scope(spark):
+        outputs = clean(table, bronze)
+        for name, df in outputs.items():
+            write_partitions(df, f"{silver_root}/{name}", rebalance=False, dates=dates)
     return list(outputs)

@@ -134,10 +134,12 @@ def run_results(spark: SparkSession, run: TrainedRun, run_id: str, path: str) ->
 
 
 def save_run(spark: SparkSession, run: TrainedRun, run_id: str, root: str, oot: DataFrame | None = None) -> str:
-    """Keep model, scaler, results and out-of-time rows below ``root/run_<run_id>``."""
+    """Keep model, scaler, results, grid, class report and out-of-time rows below ``root/run_<run_id>``."""
     path = f"{root}/run_{run_id}"
     boosting.save_model(run.model, f"{path}/model")
     run.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
+    run.candidates.write.mode("overwrite").parquet(f"{path}/candidates")
+    run.report.write.mode("overwrite").parquet(f"{path}/class_report")
     run_results(spark, run, run_id, path).write.mode("overwrite").json(f"{path}/results")
     if oot is not None:
         oot.write.mode("overwrite").parquet(f"{path}/oot")

@@ -4,11 +4,35 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_scopes: list[list[str]] = []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system it lies; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch tables made inside the block when it ends. What is wanted later has to be
+    written to its own place before that."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            remove_path(spark, path)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -20,7 +44,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:

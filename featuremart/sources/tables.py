@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import to_date
+from .scratch import remove_path
 
 SNAPSHOT = "snapshot_date"
 
@@ -68,8 +69,7 @@ def write_partitions(
 def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], by: str = SNAPSHOT) -> None:
     """Remove whole partitions; one that does not exist is no error."""
     for value in values:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_path(spark, f"{path}/{by}={value}")
 
 
 def read_partitions(

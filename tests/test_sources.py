@@ -104,3 +104,16 @@ def test_cut_keeps_rows_and_shortens_the_plan(spark, dated):
     kept = scratch.cut(dated.groupBy("snapshot_date").count())
     assert dict(rows(kept)) == {D(2023, m, 1): 10 for m in (1, 2, 3)}
     assert "Aggregate" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_scope_removes_its_scratch_tables(spark, dated, tmp_path):
+    outside = scratch.cut(dated)
+    with scratch.scratch_scope(spark):
+        inside = scratch.cut(dated)
+        path = inside.inputFiles()[0].rsplit("/", 1)[0]
+        assert inside.count() == 30
+        inside.write.parquet(str(tmp_path / "kept"))
+    from pathlib import Path
+
+    assert not Path(path.removeprefix("file:").replace("//", "/")).exists()
+    assert outside.count() == 30 == spark.read.parquet(str(tmp_path / "kept")).count()

@@ -12,7 +12,7 @@ from featuremart.sources.scratch import cut, scratch_dir
 
 from .registry import Tables, query
 
-SHORT = {"n_estimators": 10, "max_depth": 3}
+SHORT = {"n_estimators": 5, "max_depth": 3}
 FEATURES = ["n_chars", "words", "lines", "digits", "upper"]
 
 

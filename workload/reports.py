@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from featuremart.operators import metrics
 from featuremart.plans import monitoring, runlog
 from featuremart.sources import spine
-from featuremart.sources.scratch import cut
+from featuremart.sources.scratch import cut, scratch_dir
 
 from .features import rounded
 from .layers import PARTITIONS_SQL, expected_partitions, present_partitions
@@ -73,6 +73,21 @@ def monitoring_report(t: Tables):
     )
 
 
+@query(
+    "report_sink",
+    f"""
+WITH {SCORES_SQL}, {ranked_sql('')}
+SELECT 'run-1' AS run_id, count(*) AS total_predictions, round({AUC_SQL}, 9) AS auc_score,
+       round(avg(prediction_proba), 9) AS avg_prediction_proba FROM ranked""",
+)
+def report_sink(t: Tables):
+    """The report as JSON, read back."""
+    path = scratch_dir(t.spark, "report")
+    monitoring.write_report(monitoring.monitoring_report(predictions(t)), path)
+    schema = "run_id string, total_predictions long, auc_score double, avg_prediction_proba double"
+    return rounded(t.spark.read.schema(schema).json(path), ["auc_score", "avg_prediction_proba"], 9)
+
+
 @query(
     "drift_alert",
     f"""
