@@ -33,7 +33,10 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Zero-based index of each category: most frequent first, ties in alphabetical order."""
+    """Zero-based index of each category: most frequent first, ties in alphabetical order.
+
+    The categories of a column, not its rows, are ordered in one task.
+    """
     order = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("category"))
     return category_counts(df, columns).withColumn("index", F.row_number().over(order) - 1)
 
@@ -44,8 +47,7 @@ def fit_categories(
     """Categories per column in index order.
 
     They become columns, so their number has to be bounded: a column with more than
-    ``max_categories`` of them is refused. :func:`category_index` gives the same as a table of any
-    size.
+    ``max_categories`` of them is refused. :func:`category_counts` has no such limit.
     """
     rows = category_counts(df, columns).limit(max_categories * len(columns) + 1).collect()
     found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}

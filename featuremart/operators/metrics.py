@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,7 +45,7 @@ def with_rates(counts: DataFrame, beta: float = 1.5) -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, score: str, label: str, keys: Sequence[str] = (), buckets: int = 256
+    df: DataFrame, score: str, label: str, keys: Sequence[str] = (), buckets: int = 1024
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent.
 
@@ -54,19 +55,26 @@ def roc_auc(
     """
     keep = [quoted(k) for k in keys]
     rows = df.select(*keep, quoted(score).alias("_s"), quoted(label).alias("_y")).filter(
-        F.col("_s").isNotNull() & F.col("_y").isNotNull()
+        "_s IS NOT NULL AND _y IS NOT NULL"
+    )
+    # A score is looked up among every step-th edge first, then among the step edges after that.
+    step = math.isqrt(buckets)
+    edges = (
+        rows.agg(sketch("_s", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("fine"))
+        .select(F.expr(f"struct(fine, filter(fine, (e, i) -> i % {step} = {step - 1}) AS coarse)"))
+        .scalar()
     )
-    edges = rows.agg(sketch("_s", [i / buckets for i in range(1, buckets)], 20 * buckets)).scalar()
     counts = (
         rows.groupBy(*keep, "_s")
         .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
         .withColumn("_edges", edges)
+        .withColumn("_start", F.expr(f"size(filter(_edges.coarse, e -> e < _s)) * {step}"))
         .select(
             *keep,
             "_s",
             F.col("_pos").cast("double").alias("_pos"),
             F.col("_neg").cast("double").alias("_neg"),
-            F.size(F.filter("_edges", lambda e: e < F.col("_s"))).alias("_bucket"),
+            F.expr(f"_start + size(filter(slice(_edges.fine, _start + 1, {step}), e -> e < _s)) AS _bucket"),
         )
     )
     lower = Window.partitionBy(*keep, "_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)

@@ -28,7 +28,7 @@ def pairs_auc(data):
 
 
 @pytest.mark.parametrize("digits", [None, 1])
-@pytest.mark.parametrize("buckets", [256, 3])
+@pytest.mark.parametrize("buckets", [1024, 10, 2])
 def test_auc(spark, digits, buckets):
     data = sample(digits=digits)
     df = spark.createDataFrame(data, "g string, y int, s double").repartition(4)
