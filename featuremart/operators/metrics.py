@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +45,15 @@ def with_rates(counts: DataFrame, beta: float = 1.5) -> DataFrame:
     )
 
 
+def _score_buckets(rows: DataFrame, buckets: int) -> Bucketizer:
+    """Buckets of about equal weight, in the order of the score ``_s``."""
+    found = rows.agg(sketch("_s", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("edges")).first()
+    inner = sorted({e for e in found["edges"] or [] if math.isfinite(e)}) or [0.0]
+    return Bucketizer(
+        inputCol="_s", outputCol="_bucket", splits=[-math.inf, *inner, math.inf], handleInvalid="keep"
+    )
+
+
 def roc_auc(
     df: DataFrame, score: str, label: str, keys: Sequence[str] = (), buckets: int = 1024
 ) -> DataFrame:
@@ -51,32 +61,18 @@ def roc_auc(
 
     Rows with equal scores are counted first, so a popular score is one row. Quantiles of the score
     cut its range into buckets of about equal weight. Pairs inside a bucket come from a running count
-    in that bucket; pairs across buckets from a running count over the few buckets.
+    in that bucket; pairs across buckets from a running count over the few buckets. The quantiles are
+    found when this is called; the rest runs with the result.
     """
     keep = [quoted(k) for k in keys]
-    rows = df.select(*keep, quoted(score).alias("_s"), quoted(label).alias("_y")).filter(
+    rows = df.select(*keep, quoted(score).cast("double").alias("_s"), quoted(label).alias("_y")).filter(
         "_s IS NOT NULL AND _y IS NOT NULL"
     )
-    # A score is looked up among every step-th edge first, then among the step edges after that.
-    step = math.isqrt(buckets)
-    edges = (
-        rows.agg(sketch("_s", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("fine"))
-        .select(F.expr(f"struct(fine, filter(fine, (e, i) -> i % {step} = {step - 1}) AS coarse)"))
-        .scalar()
-    )
-    counts = (
-        rows.groupBy(*keep, "_s")
-        .agg(F.count_if(F.col("_y") == 1).alias("_pos"), F.count_if(F.col("_y") == 0).alias("_neg"))
-        .withColumn("_edges", edges)
-        .withColumn("_start", F.expr(f"size(filter(_edges.coarse, e -> e < _s)) * {step}"))
-        .select(
-            *keep,
-            "_s",
-            F.col("_pos").cast("double").alias("_pos"),
-            F.col("_neg").cast("double").alias("_neg"),
-            F.expr(f"_start + size(filter(slice(_edges.fine, _start + 1, {step}), e -> e < _s)) AS _bucket"),
-        )
+    counts = rows.groupBy(*keep, "_s").agg(
+        F.count_if(F.col("_y") == 1).cast("double").alias("_pos"),
+        F.count_if(F.col("_y") == 0).cast("double").alias("_neg"),
     )
+    counts = _score_buckets(rows, buckets).transform(counts)
     lower = Window.partitionBy(*keep, "_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = (
         counts.withColumn("_below", F.coalesce(F.sum("_neg").over(lower), F.lit(0.0)))

@@ -111,3 +111,19 @@ def test_missing_source_is_skipped_and_logged(spark, run, tmp_path):
     log = medallion.layer_partition_log(spark, "bronze", run[1] + "/bronze", ["lms"], MONTHS)
     failed = {r["table_name"]: r["n"] for r in log.filter("status = 'failed'").groupBy("table_name").agg(F.count("*").alias("n")).collect()}
     assert failed == {"attributes": 24, "financials": 24, "clickstream": 24}
+
+
+def test_label_filter_reaches_the_scan(spark, run):
+    labels = gold.build_labels(read_partitions(spark, f"{run[1]}/silver/lms", dates=MONTHS[:3]))
+    plan = labels._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(mob,6)" in plan and "loan_amt" not in plan
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan or "PartitionFilters: [snapshot_date" in plan
+
+
+def test_running_again_changes_nothing(spark, run):
+    """Bronze and silver of a date can be rebuilt; the other dates stay as they are."""
+    files, root, _ = run
+    before = read_partitions(spark, f"{root}/silver/lms").count()
+    medallion.write_bronze(spark, "lms", files["lms"], f"{root}/bronze", [MONTHS[3]])
+    medallion.write_silver(spark, "lms", f"{root}/bronze", f"{root}/silver", [MONTHS[3]])
+    assert read_partitions(spark, f"{root}/silver/lms").count() == before
