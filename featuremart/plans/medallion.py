@@ -15,6 +15,7 @@ from ..sources.scratch import cut, scratch_scope
 from ..sources.spine import spine_between
 from ..sources.tables import (
     SNAPSHOT,
+    has_partitions,
     partition_counts,
     read_partitions,
     read_raw_csv,
@@ -69,6 +70,7 @@ def layer_partition_log(
     spark: SparkSession, layer: str, root: str, tables: Sequence[str], dates: Sequence[str], fmt: str = "parquet"
 ) -> DataFrame:
     """Run log of one layer from the partitions found on disk."""
+    tables = [t for t in tables if has_partitions(spark, f"{root}/{t}")]
     spine = spine_between(spark, min(dates), max(dates)).filter(F.col(SNAPSHOT).cast("string").isin(list(dates)))
     expected = spine.select(F.explode(F.array(*map(F.lit, TABLES))).alias("table_name"), SNAPSHOT)
     if not tables:
@@ -135,8 +137,9 @@ def run_all(
         model_path = save_run(spark, trained, run_id, paths.models, oot)
 
     saved = load_run(spark, model_path)
-    write_predictions(score_rows(saved, saved.oot, run_id), paths.predictions)
-    predictions = spark.read.parquet(paths.predictions).filter(F.col("model_run_id") == run_id)
+    scored = score_rows(saved, saved.oot, run_id)
+    write_predictions(scored, paths.predictions)
+    predictions = spark.read.schema(scored.schema).parquet(paths.predictions).filter(F.col("model_run_id") == run_id)
     report = cut(monitoring_report(predictions, saved.results["test_results"]["auc_score"]), "report")
     write_report(report, f"{paths.predictions}_reports/monitoring_{run_id}")
     summary = cut(

@@ -22,8 +22,7 @@ def drift_message(auc: Column, baseline: Column, tolerance: float = AUC_TOLERANC
 
 def drift_by_run(metrics: DataFrame, baseline: DataFrame, tolerance: float = AUC_TOLERANCE) -> DataFrame:
     """Drift of each run's AUC against one baseline row with a column ``auc``."""
-    reference = baseline.select("auc").scalar()
-    return metrics.withColumn("baseline_auc", reference).withColumns(
+    return metrics.withColumn("baseline_auc", baseline.select("auc").scalar()).withColumns(
         {
             "auc_drift": F.abs(F.col("auc") - F.col("baseline_auc")),
             "drift_alert": drift_message(F.col("auc"), F.col("baseline_auc"), tolerance),
@@ -97,5 +96,5 @@ def monitoring_report(
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """A report is one row: one JSON file. The repartition only moves that row."""
+    """A report is one row, so it goes to one JSON file."""
     report.coalesce(1).write.mode("overwrite").json(path)

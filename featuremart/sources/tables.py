@@ -104,6 +104,13 @@ def union_all(*tables: DataFrame) -> DataFrame:
     return out
 
 
+def has_partitions(spark: SparkSession, path: str, by: str = SNAPSHOT) -> bool:
+    """Whether a table holds any partition; one without any has no schema to read."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return found is not None and len(found) > 0
+
+
 def partition_counts(df: DataFrame, by: str = SNAPSHOT) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -113,6 +113,13 @@ def test_missing_source_is_skipped_and_logged(spark, run, tmp_path):
     assert failed == {"attributes": 24, "financials": 24, "clickstream": 24}
 
 
+def test_table_without_any_partition_is_logged(spark, run, tmp_path):
+    root = str(tmp_path / "bronze")
+    medallion.write_bronze(spark, "lms", run[0]["lms"], root, ["1999-01-01"])
+    log = medallion.layer_partition_log(spark, "bronze", root, ["lms"], ["1999-01-01"])
+    assert {(r["table_name"], r["status"]) for r in log.collect()} == {(t, "failed") for t in medallion.TABLES}
+
+
 def test_label_filter_reaches_the_scan(spark, run):
     labels = gold.build_labels(read_partitions(spark, f"{run[1]}/silver/lms", dates=MONTHS[:3]))
     plan = labels._jdf.queryExecution().executedPlan().toString()

@@ -65,6 +65,13 @@ def test_report_without_drift_or_labels(spark):
     assert row["has_performance_metrics"] is False and "auc_score" not in row.asDict()
 
 
+def test_report_without_predictions(spark):
+    row = monitoring.monitoring_report(predictions(spark).filter("false"), baseline_auc=0.9).first()
+    assert (row["total_predictions"], row["positive_predictions"], row["auc_score"], row["drift_alerts"]) == (0, 0, None, [])
+    summarised = summary(spark, run_log(spark), monitoring.monitoring_report(predictions(spark).filter("false")))
+    assert summarised["issues"] == ["No predictions generated"]
+
+
 def run_log(spark, failed=0):
     expected = spark.createDataFrame([("lms", D(2023, m, 1)) for m in (1, 2)], "table_name string, snapshot_date date")
     counts = spark.createDataFrame([("lms", D(2023, m, 1), 5) for m in (1, 2)][failed:], "table_name string, snapshot_date date, rows long")
