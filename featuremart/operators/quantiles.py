@@ -18,9 +18,12 @@ from .schema import quoted
 
 
 def sketch(value: str, probs: Sequence[float], accuracy: int) -> Column:
-    """Approximate quantiles at the probabilities, as an array; the rank error is 1 / accuracy."""
-    points = ", ".join(f"{float(p)!r}D" for p in probs)
-    return F.expr(f"percentile_approx({value}, array({points}), {int(accuracy)})")
+    """Approximate quantiles at the probabilities, as an array; the rank error is 1 / accuracy.
+
+    The probabilities go in as one text literal, so that a long list does not bloat the plan.
+    """
+    points = ",".join(repr(float(p)) for p in probs)
+    return F.expr(f"percentile_approx({value}, CAST(split('{points}', ',') AS ARRAY<DOUBLE>), {int(accuracy)})")
 
 
 def _brackets(rows: DataFrame, probs: Sequence[float], keys: Sequence[Column], accuracy: int) -> DataFrame:
