@@ -6,6 +6,8 @@ import itertools
 import logging
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -94,43 +96,57 @@ def grid_points(grid: Mapping[str, Sequence]) -> list[dict]:
     return [dict(zip(keys, values)) for values in itertools.product(*(grid[k] for k in keys))]
 
 
+class SearchResult(NamedTuple):
+    """All candidates with their scores, and the best of them."""
+
+    candidates: DataFrame
+    best_params: dict
+    best_model: object
+
+
 def search(
     rows: DataFrame,
     grid: Mapping[str, Sequence],
     label: str = LABEL,
     parallelism: int = 4,
     split: str = "split",
-) -> DataFrame:
+) -> SearchResult:
     """Fit every grid point on the rows of split 'train' and score F1 at 0.5 on 'train' and 'val'.
 
-    One row per distinct candidate: candidate, params, train_f1, val_f1. Each fit is a set of Spark
-    jobs; a few candidates run at once, and both parts are scored in one pass. The rows are read
-    once per candidate, so hand in a written table.
+    The candidates table has one row per grid point: candidate, params, train_f1, val_f1. The highest
+    validation F1 wins, the first among equals. Its model is fitted on the training rows only and is
+    handed back, so it need not be fitted again; the other models are let go.
+
+    Each fit is a set of Spark jobs; a few candidates run at once, and both parts are scored in one
+    pass. The rows are read once per candidate, so hand in a written table.
     """
     usable = supported({k: None for k in grid})
     points = grid_points({k: grid[k] for k in usable})
     train_rows = rows.filter(F.col(split) == "train")
     judged_rows = rows.filter(F.col(split).isin("train", "val"))
+    lock, best = Lock(), {}
 
-    def run(point):
-        model = train(train_rows, point, label)
+    def run(i):
+        model = train(train_rows, points[i], label)
         judged = add_scores(model, judged_rows).withColumn("_predicted", predicted_class(F.col(SCORE), 0.5))
         rates = with_rates(confusion(judged, label, "_predicted", [split])).select(split, "f1_score").collect()
         f1 = {r[split]: r["f1_score"] for r in rates}
-        return f1.get("train"), f1.get("val")
+        rank = (f1.get("val", -1.0), -i)
+        with lock:
+            if not best or rank > best["rank"]:
+                best.update(rank=rank, model=model)
+        return i, {k: str(v) for k, v in points[i].items()}, f1.get("train"), f1.get("val")
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, points))
-    table = [
-        (i, {k: str(v) for k, v in point.items()}, *f1s) for i, (point, f1s) in enumerate(zip(points, results))
-    ]
-    return rows.sparkSession.createDataFrame(
+        table = list(pool.map(run, range(len(points))))
+    candidates = rows.sparkSession.createDataFrame(
         table, "candidate int, params map<string,string>, train_f1 double, val_f1 double"
     )
+    return SearchResult(candidates, points[-best["rank"][1]], best["model"])
 
 
 def best_candidate(results: DataFrame) -> dict:
-    """Parameters with the highest validation F1; the first among equals."""
+    """The winner's parameters from a kept candidates table."""
     row = results.orderBy(F.desc("val_f1"), F.asc("candidate")).first()
     convert = {"colsample_bytree": float}
     return {

@@ -69,8 +69,8 @@ def train_run(
     id_columns: Sequence[str] = ID_COLUMNS,
     parallelism: int = 4,
 ) -> TrainedRun:
-    """Split, scale, fit the baseline, search the grid, fit the best on the training rows only, choose
-    the threshold on the validation rows, and evaluate on the test rows.
+    """Split, scale, fit the baseline, search the grid, take the best model (fitted on the training
+    rows only), choose the threshold on the validation rows, and evaluate on the test rows.
 
     ``key`` has to be unique per row. The split vectors are written to scratch once, as every fit
     reads them.
@@ -89,9 +89,7 @@ def train_run(
     baseline = boosting.train(train, baseline_params, label)
     baseline_results = boosting.evaluate(scored(baseline, val), label=label).first().asDict()
 
-    candidates = boosting.search(vectors, grid or SMALL_GRID, label, parallelism)
-    best_params = boosting.best_candidate(candidates)
-    model = boosting.train(train, best_params, label)
+    candidates, best_params, model = boosting.search(vectors, grid or SMALL_GRID, label, parallelism)
 
     threshold = best_threshold(threshold_curve(scored(model, val), SCORE, label)).first()["threshold"]
     test_scored = scored(model, test)

@@ -129,3 +129,18 @@ def test_best_candidate_takes_the_first_of_equals(spark):
         "candidate int, params map<string,string>, train_f1 double, val_f1 double",
     )
     assert best_candidate(results) == {"max_depth": 3, "subsample": 0.8}
+
+
+def test_search_hands_back_the_winner_fitted_on_train(spark):
+    import random
+
+    from featuremart.operators import boosting
+
+    rnd = random.Random(4)
+    data = [(float(rnd.gauss(y, 0.7)), float(rnd.random()), y, "val" if i % 4 == 0 else "train") for i in range(200) for y in (0, 1)]
+    rows = boosting.assemble(spark.createDataFrame(data, "a double, b double, label int, split string"), ["a", "b"])
+    found = boosting.search(rows, {"n_estimators": [2], "max_depth": [1, 3], "reg_alpha": [0, 1]})
+    assert found.candidates.count() == 2
+    assert found.best_params == best_candidate(found.candidates)
+    again = boosting.train(rows.filter("split = 'train'"), found.best_params)
+    assert again.toDebugString.split("\n", 1)[1] == found.best_model.toDebugString.split("\n", 1)[1]

@@ -58,7 +58,8 @@ def vectors(t: Tables):
 
 @query("grid_search")
 def grid_search(t: Tables):
-    return boosting.search(vectors(t), {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "n_estimators": [5]})
+    grid = {"max_depth": [2, 3], "learning_rate": [0.1, 0.3], "n_estimators": [5]}
+    return boosting.search(vectors(t), grid).candidates
 
 
 @query("feature_importance_topk")
