@@ -41,11 +41,10 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
     return docs.select(*doc_key(id_column, text_column), text)
 
 
-def with_rows(docs: DataFrame, decisions: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``row`` (all columns of a document as they came) next to the columns of its decision, null where
-    there is none. ``decisions`` has at most one row for each ``(id, dig)``."""
-    rows = docs.select(*doc_key(id_column, text_column), F.struct(F.col("*")).alias("row"))
-    return rows.join(decisions, ["id", "dig"], "left")
+def with_rows(docs: DataFrame, decisions: DataFrame, how: str = "left") -> DataFrame:
+    """``id, dig, row`` (all columns of a document as they came, in a struct, so that no name clashes)
+    joined to ``decisions``, which has at most one row for each ``(id, dig)``."""
+    return docs.select(*doc_key(), F.struct(F.col("*")).alias("row")).join(decisions, ["id", "dig"], how)
 
 
 def real_id() -> Column:
