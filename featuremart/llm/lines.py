@@ -243,3 +243,22 @@ def drop_repeated_lines(docs: DataFrame, least_docs: int = 5, least_points: int
     joined = tx.keyed(docs).join(keep_bitmaps(docs, least_docs, least_points), ["id", "dig"], "left")
     schema = "id long, dig long, n_lines long, n_dropped long, kept string"
     return joined.mapInArrow(_kept_lines(digest), schema)
+
+
+def without_repeated_lines(docs: DataFrame, least_docs: int = 5, least_points: int = 40) -> DataFrame:
+    """``docs`` with its columns as they are, but ``text`` without the dropped lines where there are any,
+    and ``n_chars``, if there, the length of that text."""
+    bitmaps = keep_bitmaps(docs, least_docs, least_points)
+    joined = tx.with_rows(docs, bitmaps).select(F.coalesce("row.text", F.lit("")).alias("text"), "bitmap", "row")
+    schema = f"row {docs.select(F.struct('*').alias('row')).schema['row'].dataType.simpleString()}"
+    done = joined.mapInArrow(_kept_lines(False), f"{schema}, n_lines long, n_dropped long, kept string")
+    changed = F.col("n_dropped") > 0
+    new = {"text": F.col("kept"), "n_chars": F.length("kept")}
+    return done.select(
+        *(
+            F.when(changed, new[f.name].cast(f.dataType)).otherwise(F.col("row")[f.name]).alias(f.name)
+            if f.name in new
+            else F.col("row")[f.name].alias(f.name)
+            for f in docs.schema
+        )
+    )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, simhash, substrings
+from . import decontamination, languages, lines, long_matches, packing, quality, simhash, substrings, token_counts, urls
 from . import text as tx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,113 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return out.select(tx.real_id().alias("doc_id"), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.judged(table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "d2")
+    return out.select(tx.real_id().alias("doc_id"), *base)
+
+
+@query(
+    "op1_benchmark_decontamination",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    ), items AS (
+        SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+    ), item_windows AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS k
+        FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS s FROM items WHERE len(w) > 0)
+    ), doc_windows AS (
+        SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS k
+        FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+              FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+    ), met AS (SELECT doc_id, s, n, item_id FROM doc_windows JOIN item_windows USING (n, k)),
+    hit AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS p FROM met) GROUP BY doc_id
+    ), ids AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS joined
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM met) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    answers = decontamination.contaminated(docs, items, length=10)
+    rows = docs.select(*tx.doc_key()).join(answers, ["id", "dig"])
+    return rows.select(
+        tx.real_id().alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+#: The listed rules.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query(
+    "op3_url_filter",
+    r"""
+    WITH parts AS (
+        SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest
+        FROM pages
+    ), split AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz') AS host,
+               regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+    ), rules(h, p, v) AS (
+        VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+               ('com', '/fr/', 'allow'), ('com', '/de/', 'block')
+    ), hits AS (
+        SELECT page_id, h || p AS rule, v FROM split JOIN rules
+        ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+        QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC) = 1
+    )
+    SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM split LEFT JOIN hits USING (page_id)
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judge_urls(table(spark, sf_dir, "pages"), rules, keep=("page_id",))
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), path, end=2, capacity=1024)
+    return out.select(tx.real_id().alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select(tx.real_id().alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    names, model = languages.learn(docs.where(~held_out))
+    out = languages.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), names, model)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = long_matches.remove_long_matches(table(spark, sf_dir, "documents"), 400, digest=True)
+    return out.withColumnRenamed("kept", "kept_sha256")

@@ -205,14 +205,16 @@ def links(prints: DataFrame, radius: int = 3, blocks: int | None = None, tile: i
     return pairs.select("a", "b", F.expr("k = o and i = j").alias("same")).mapInArrow(_links(radius), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, group: str | None = None) -> DataFrame:
     """``id, dig, print, component_id`` for each row of ``docs``; component_id is the smallest doc_id
-    among the documents that links connect, null if none has an id."""
+    among the documents that links connect, null if none has an id. ``group`` names one more column, a
+    number that a component's rows share (component_id cannot tell components without ids apart)."""
     prints = cut(fingerprints(docs, shingle), "fingerprints")
     lowest = prints.groupBy("print").agg(F.min(tx.real_id()).alias("low"))
     roots = components(links(prints, radius))
     nodes = lowest.join(roots.withColumnRenamed("node", "print"), "print", "left")
     nodes = nodes.select("print", "low", F.coalesce("root", "print").alias("root"))
     classes = nodes.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = nodes.join(classes, "root").select("print", "component_id")
+    more = [F.col("root").alias(group)] if group else []
+    label = cut(nodes.join(classes, "root").select("print", "component_id", *more), "classes")
     return prints.join(label, "print")
