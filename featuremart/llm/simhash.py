@@ -80,7 +80,7 @@ def blocks_for(n: int, radius: int) -> int:
 
     def work(m: int) -> float:
         spread = max(1.0, (4.13 * (16 / m) ** 0.5) ** m)  # of m counts, each over 64 / m fair bits
-        return n * n * min(1, ball(m) / spread) / 2 + min(n, spread) * ball(m) * 1000
+        return n * n * min(1, ball(m) / spread) / 2 + min(n, spread) * ball(m) * 20_000  # a row sent costs as much
 
     return min((1, 2, 3, 4, 6, 8, 12, 16), key=work)
 
@@ -117,7 +117,7 @@ def _pack(table: pa.Table) -> pa.Table:
 
 
 def _near_keys(m: int, radius: int):
-    """A row for each key that a tile's key may pair with, itself included."""
+    """A row for each equal or larger key that a tile's key may pair with."""
 
     def steps(blocks: int, left: int):
         if not blocks:
@@ -135,10 +135,11 @@ def _near_keys(m: int, radius: int):
             for key, p, prints in zip(*(batch.column(c).to_pylist() for c in ("key", "piece", "prints")), strict=True):
                 at = np.frombuffer(key, dtype=np.uint8).astype(np.int16) + near
                 for row in at[((at >= 0) & (at <= 64)).all(axis=1)].astype(np.uint8):
-                    own.append(key)
-                    other.append(row.tobytes())
-                    piece.append(p)
-                    packed.append(prints)
+                    if (near_key := row.tobytes()) >= key:
+                        own.append(key)
+                        other.append(near_key)
+                        piece.append(p)
+                        packed.append(prints)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(own, pa.binary()), pa.array(other, pa.binary()), pa.array(piece, pa.int32()), pa.array(packed, pa.binary())],
                 ["key", "other", "piece", "prints"],
@@ -196,13 +197,14 @@ def links(prints: DataFrame, radius: int = 3, blocks: int | None = None, tile: i
     piece = F.expr("cast(pmod(xxhash64(print), pieces) as int)").alias("piece")
     tiles = keys.join(pieces, "key").select("key", piece, "print").groupBy("key", "piece")
     tiles = cut(tiles.applyInArrow(_pack, "key binary, piece int, prints binary"), "tiles")
-    sent = tiles.mapInArrow(_near_keys(m, radius), "key binary, other binary, piece int, prints binary")
     pieces = tiles.groupBy(F.col("key").alias("other")).agg((F.max("piece") + 1).alias("pieces"))
+    # each tile goes to the tiles of equal or larger keys; these stay at home
+    sent = tiles.mapInArrow(_near_keys(m, radius), "key binary, other binary, piece int, prints binary")
     sent = sent.join(pieces, "other").withColumn("mate", F.explode(F.expr("sequence(0, pieces - 1)")))
-    left = sent.where("key <= other").select(F.expr("key as k"), F.expr("other as o"), F.expr("piece as i"), F.expr("mate as j"), F.expr("prints as a"))
-    right = sent.where("other <= key").select(F.expr("other as k"), F.expr("key as o"), F.expr("mate as i"), F.expr("piece as j"), F.expr("prints as b"))
-    pairs = left.join(right, ["k", "o", "i", "j"]).where("k < o or i <= j")
-    return pairs.select("a", "b", F.expr("k = o and i = j").alias("same")).mapInArrow(_links(radius), "u long, v long")
+    sent = sent.where("key < other or piece <= mate").select("other", "mate", "key", "piece", F.col("prints").alias("a"))
+    home = tiles.select(F.col("key").alias("other"), F.col("piece").alias("mate"), F.col("prints").alias("b"))
+    pairs = sent.join(home, ["other", "mate"])
+    return pairs.select("a", "b", F.expr("key = other and piece = mate").alias("same")).mapInArrow(_links(radius), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, group: str | None = None) -> DataFrame:
