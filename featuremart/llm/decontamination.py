@@ -101,22 +101,24 @@ def contaminated(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFra
         flat = hashed.select("id", "dig", "n_words", F.explode(each).alias("e")).select("id", "dig", "n_words", "e.size", F.explode_outer("e.prints").alias("print"))
         found = flat.join(side, ["size", "print"], "left").select("id", "dig", "n_words", F.coalesce("hit", F.lit(False)).alias("hit"))
     found = cut(found.groupBy("id", "dig").agg(F.max("n_words").cast("long").alias("n_words"), F.max("hit").alias("hit")), "found")
-    hits = _extended(tokens, found.where("hit"), windows, sizes)
+    hits = _extended(keys, found.where("hit"), windows, sizes)
     return found.select("id", "dig", "n_words").join(hits, ["id", "dig"], "left").select(
         "id", "dig", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 
-def _extended(tokens: DataFrame, candidates: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+def _extended(keys: DataFrame, candidates: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
     """``id, dig, n_hit, items``: the windows of the candidate documents against the items' windows."""
-    some = tokens.join(candidates.select("id", "dig"), ["id", "dig"], "left_semi").dropDuplicates(["id", "dig"])
+    some = keys.join(candidates.select("id", "dig"), ["id", "dig"], "left_semi").dropDuplicates(["id", "dig"])
+    some = some.select("id", "dig", words("text").alias("w"))
     each = F.array(*map(F.lit, sizes)).cast("array<int>")
     at = F.expr("explode(if(size(w) < size, array(), sequence(1, size(w) - size + 1)))").alias("at")
     own = some.select("id", "dig", "w", F.explode(each).alias("size")).select("id", "dig", "size", "w", at)
     own = own.select("id", "dig", "size", "at", F.expr("slice(w, at, size)").alias("window"))
-    named = windows.groupBy("size", "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
-    met = cut(own.join(named, ["size", "window"]).select("id", "dig", "at", "size", "ids"), "met")
+    named = cut(windows.groupBy("size", "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids")), "named")
+    side = F.broadcast(named) if windows.count() <= BROADCAST_ROWS else named
+    met = cut(own.join(side, ["size", "window"]).select("id", "dig", "at", "size", "ids"), "met")
     places = met.select("id", "dig", F.explode(F.expr("sequence(at, at + size - 1)")).alias("place")).distinct()
     n_hit = places.groupBy("id", "dig").agg(F.count("*").alias("n_hit"))
     ids = met.select("id", "dig", F.explode("ids").alias("item")).groupBy("id", "dig").agg(F.sort_array(F.collect_set("item")).alias("items"))
