@@ -187,24 +187,30 @@ def _ranges(length: int):
 def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     """``id, dig, spans``: packed int64 pairs (start, end) of bytes in strings of ``length`` bytes that also
     start elsewhere; a document has several rows. ``texts`` has ``id, dig, text``, see tx.keyed."""
-    rows = cut(texts.mapInArrow(_segments(length), _SEGMENTS), "segments")
-    one = F.min(F.struct("id", "dig", "start", "starts")).alias("one")
-    ends = F.max(F.struct("id", "dig", "start", "starts")).alias("last")
-    kinds = rows.groupBy("anchor", "digest").agg(one, ends)
-    # repeated rows give the same segment again: alone means one place only
-    kinds = cut(kinds.select("anchor", "digest", "one", (F.col("one") == F.col("last")).alias("alone")), "kinds")
-    many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    need = cut(kinds.join(many, "anchor").select("anchor", "alone", "kinds", "one.*"), "need")
+    # repeated rows give a segment again at the same place: what counts is different places
+    place = F.xxhash64("id", "dig", "start")
+    places = [F.min("place").alias("lo"), F.max("place").alias("hi")]
+    rows = cut(texts.mapInArrow(_segments(length), _SEGMENTS), "segments").withColumn("place", place)
+    often = cut(rows.groupBy("anchor").agg(*places).where("lo != hi").select("anchor"), "often")
+    rows = cut(rows.drop("place").join(often, "anchor", "left_semi"), "candidates").withColumn("place", place)
+    kinds = cut(rows.groupBy("anchor", "digest").agg(*places), "kinds")
+    many = cut(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")), "many")
+    known = kinds.join(many, "anchor").selectExpr("anchor", "digest", "lo as one", "lo = hi as alone", "kinds")
+    marked = rows.join(known, ["anchor", "digest"]).selectExpr(
+        "anchor", "id", "dig", "start", "starts", "alone", "kinds", "kinds > 1 and place = one as stands"
+    )
+    marked = cut(marked.where("stands or not alone"), "marked")
+    need = marked.where("stands")
     total = need.where(f"kinds <= {MOST_SEGMENTS}").agg(F.sum(F.col("starts") + length)).first()[0] or 0
     buckets = max(2 * tx.tasks(texts), -(-total // BUCKET_BYTES))
     bucket = F.when(F.col("kinds") > MOST_SEGMENTS, -1).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(buckets))).alias("bucket")
     wanted = F.struct(bucket, "anchor", "start", "starts", "alone")
-    wanted = need.select("id", "dig", wanted.alias("w")).groupBy("id", "dig").agg(F.collect_list("w").alias("wanted"))
+    wanted = need.select("id", "dig", wanted.alias("w")).groupBy("id", "dig").agg(F.collect_set("w").alias("wanted"))
     wanted = wanted.withColumn("hot", F.exists("wanted", lambda w: w["bucket"] == -1))
     found = texts.join(wanted, ["id", "dig"]).dropDuplicates(["id", "dig"])
     plain = found.select("id", "dig", "text", F.filter("wanted", lambda w: w["bucket"] >= 0).alias("wanted"))
     indexed = plain.mapInArrow(_sliced(length), _CUTS).groupBy("bucket").applyInArrow(_indexed(length), _SPANS)
-    whole = rows.join(kinds.where("not alone").select("anchor", "digest"), ["anchor", "digest"], "left_semi")
+    whole = marked.where("not alone")
     pair = F.struct(F.col("start").cast("long").alias("a"), (F.col("start") + F.col("starts") + F.lit(length - 1)).cast("long").alias("b"))
     whole = whole.groupBy("id", "dig").agg(F.collect_list(pair).alias("pairs")).mapInArrow(_pairs, _SPANS)
     spans = indexed.unionByName(whole)
