@@ -150,7 +150,7 @@ def _predicted(names: list[str], table: np.ndarray):
 def predict(rows: DataFrame, names: list[str], table: np.ndarray) -> DataFrame:
     """``rows`` (with ``text``) without the text, with ``lang_pred`` and ``score``."""
     kept = [f for f in rows.schema if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     text = F.coalesce("text", F.lit(""))
     lettered = rows.select(*(F.col(f"`{f.name}`") for f in kept), text.alias("text"), text.rlike(r"\p{L}").alias("lettered"))
-    return lettered.mapInArrow(_predicted(names, table), f"{schema}, lang_pred string, score double")
+    return lettered.mapInArrow(_predicted(names, table), f"{schema}lang_pred string, score double")

@@ -160,8 +160,9 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def span_mask(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     """Mask of the positions inside spans that don't overlap."""
     step = np.zeros(n + 1, dtype=np.int8)
-    step[starts] += 1
-    step[ends] -= 1
+    some = ends > starts  # those without length share their places with others
+    step[starts[some]] += 1
+    step[ends[some]] -= 1
     return np.cumsum(step[:-1], dtype=np.int8).view(bool)
 
 
