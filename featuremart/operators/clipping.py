@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.scratch import small_side
 from .quantiles import exact_quantile
 from .schema import quoted
 
@@ -36,10 +35,10 @@ def fit_caps(
 def clip_above(df: DataFrame, caps: DataFrame, columns: Sequence[str], by: str = "snapshot_date") -> DataFrame:
     """Values above their partition's cap become the cap; nulls stay null, a null cap clips nothing.
 
-    The clipped columns are doubles, as the cap is. ``caps`` has one row per partition and is
-    broadcast when its size is proven small.
+    The clipped columns are doubles, as the cap is. ``caps`` has one row per partition;
+    adaptive execution broadcasts it if its measured size allows.
     """
-    renamed = small_side(caps).select(
+    renamed = caps.select(
         quoted(by).alias("_by"), *[quoted(c).alias(f"_cap_{c}") for c in columns]
     )
     joined = df.join(renamed, df[by] == renamed["_by"], "left")

@@ -2,8 +2,8 @@
 
 ``percentile`` and ``percentile_disc`` hold every distinct value of a group in one task. Here an
 approximate sketch brackets each wanted rank first; only values inside a bracket are ordered, and the
-rows below it are counted. The sketch's rank error has a guaranteed bound, so the wanted rank always
-lies inside its bracket and the result is exact.
+rows below it are counted. The sketch's rank error has a guaranteed bound, so the wanted rank lies
+inside its bracket and the result is exact; a rank outside is an error, never another value.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import small_side
+from ..sources.scratch import cut
 from .schema import quoted
 
 
@@ -58,7 +58,7 @@ def _bracketed_counts(
     rows = df.select(*cols, quoted(value).alias("_v")).filter("_v IS NOT NULL")
     brackets = _brackets(rows, probs, cols, accuracy)
     if keys:
-        brackets = small_side(brackets)
+        brackets = cut(brackets, "brackets")
         attach = lambda x: x.join(brackets, on=list(keys), how="inner")
     else:
         one = brackets.select(F.struct("_n", "_low", "_high")).scalar()
@@ -104,10 +104,17 @@ def order_statistics(
     p = F.element_at(F.array(*map(F.lit, probs)), F.col("_i") + 1)
     wanted = ranks(F.col("_n"), p)
     upto = Window.partitionBy(*cols, "_i").orderBy(F.col("_v").asc_nulls_first())
+    below = F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_upto"))), F.lit(0))
+
+    def found(rank: Column) -> Column:
+        inside = (below <= rank) & (F.max("_upto") > rank)
+        missed = F.raise_error(F.lit("a rank lies outside its bracket; raise accuracy"))
+        return F.when(inside, F.min(F.when(F.col("_upto") > rank, F.col("_v")))).otherwise(missed)
+
     return (
         counts.withColumn("_upto", F.sum("_c").over(upto))
         .groupBy(*cols, "_i", "_n")
-        .agg(*[F.min(F.when(F.col("_upto") > r, F.col("_v"))).alias(name) for name, r in wanted.items()])
+        .agg(*[found(r).alias(name) for name, r in wanted.items()])
     )
 
 

@@ -102,7 +102,9 @@ def run_all(
     fit_on: str = "train",
     bronze_format: str = "parquet",
 ) -> DataFrame:
-    """Run every step and return the summary row. Tables without a source are skipped and logged.
+    """Run every step and return the summary row. A table without a source, or one that fails, is logged
+    and the run goes on with the others; so it does when a later step fails. Logs are written before the
+    next step begins, the summary in any case, with a message for each failure among its issues.
 
     ``fit_on='train'`` learns means and categories from customers labelled up to the end of the
     training window; ``'all'`` learns them from every row.
@@ -112,48 +114,67 @@ def run_all(
     paths = RunPaths.below(root)
     dates = spine_dates(spark, start, end)
     windows = TimeWindows.before(train_date, train_months, oot_months)
+    failures = [f"bronze {t}: no source" for t in TABLES if t not in sources]
+
+    def attempt(step: str, action, *args):
+        """The step's result, or None and a message."""
+        try:
+            return action(*args)
+        except Exception as error:  # whatever it is, it is reported and the run goes on
+            failures.append(f"{step}: {type(error).__name__}: {str(error).strip().splitlines()[0][:500] if str(error) else ''}")
+            return None
+
+    def logged(layer: str, layer_root: str, tables: Sequence[str], fmt: str) -> DataFrame:
+        path = f"{root}/logs/{layer}_{run_id}"
+        found = layer_partition_log(spark, layer, layer_root, tables, dates, fmt)
+        found.write.mode("overwrite").parquet(path)
+        return spark.read.schema(found.schema).parquet(path)
 
     present = [t for t in TABLES if t in sources]
     for t in present:
-        write_bronze(spark, t, sources[t], paths.bronze, dates, bronze_format)
-    bronze_log = cut(layer_partition_log(spark, "bronze", paths.bronze, present, dates, bronze_format), "bronze-log")
-
-    good = {
-        r[0] for r in bronze_log.filter(F.col("status") == "processed").select("table_name").distinct().collect()
-    }
+        attempt(f"bronze {t}", write_bronze, spark, t, sources[t], paths.bronze, dates, bronze_format)
+    bronze_log = logged("bronze", paths.bronze, present, bronze_format)
+    done = bronze_log.filter(F.col("status") == "processed").select("table_name").distinct()
+    good = {r[0] for r in done.collect()}
     usable = [t for t in present if t in good]
     for t in usable:
-        write_silver(spark, t, paths.bronze, paths.silver, dates, bronze_format)
-    silver_log = layer_partition_log(spark, "silver", paths.silver, usable, dates)
-    log = cut(union_all(bronze_log, silver_log), "run-log")
-
-    features, labels = write_gold(
-        spark, paths.silver, paths.gold, dates, windows.train_end.isoformat() if fit_on == "train" else None
-    )
-    with scratch_scope(spark):
-        rows = cut(labelled_rows(features, labels, windows), "labelled-rows")
-        oot = rows.filter(F.col("window") == "oot")
-        trained = train_run(rows.filter(F.col("window") == "train"), grid, baseline_params=baseline_params)
-        model_path = save_run(spark, trained, run_id, paths.models, oot)
-
-    saved = load_run(spark, model_path)
-    scored = score_rows(saved, saved.oot, run_id)
-    write_predictions(scored, paths.predictions)
-    predictions = spark.read.schema(scored.schema).parquet(paths.predictions).filter(F.col("model_run_id") == run_id)
-    report = cut(monitoring_report(predictions, saved.results["test_results"]["auc_score"]), "report")
-    write_report(report, f"{paths.predictions}_reports/monitoring_{run_id}")
-    summary = cut(
-        run_summary(
-            spark,
-            log,
-            features,
-            labels,
-            run_id,
-            model_path,
-            evaluate_predictions(predictions),
-            report,
-        ),
-        "summary",
-    )
+        attempt(f"silver {t}", write_silver, spark, t, paths.bronze, paths.silver, dates, bronze_format)
+    log = union_all(bronze_log, logged("silver", paths.silver, usable, "parquet"))
+
+    fit_until = windows.train_end.isoformat() if fit_on == "train" else None
+    gold = attempt("gold", write_gold, spark, paths.silver, paths.gold, dates, fit_until)
+    features, labels = gold or (spark.createDataFrame([], "customer_id string"),) * 2
+
+    def train() -> str:
+        with scratch_scope(spark):
+            rows = cut(labelled_rows(features, labels, windows), "labelled-rows")
+            oot = rows.filter(F.col("window") == "oot")
+            trained = train_run(rows.filter(F.col("window") == "train"), grid, baseline_params=baseline_params)
+            return save_run(spark, trained, run_id, paths.models, oot)
+
+    def score() -> tuple[DataFrame, dict]:
+        saved = load_run(spark, model_path)
+        scored = score_rows(saved, saved.oot, run_id)
+        write_predictions(scored, paths.predictions)
+        written = spark.read.schema(scored.schema).parquet(paths.predictions)
+        return written.filter(F.col("model_run_id") == run_id), saved.results
+
+    def monitor() -> DataFrame:
+        predictions, results = scores
+        path = f"{paths.predictions}_reports/monitoring_{run_id}"
+        found = monitoring_report(predictions, results["test_results"]["auc_score"])
+        report = cut(found, "report")
+        write_report(report, path)
+        return report
+
+    model_path = attempt("training", train) if gold else None
+    scores = attempt("scoring", score) if model_path else None
+    report = attempt("monitoring", monitor) if scores else None
+    evaluation = attempt("evaluation", evaluate_predictions, scores[0]) if scores else None
+    summary = run_summary(
+        spark, log, features, labels, run_id, model_path, evaluation, report,
+        failures=failures, gold_status="completed" if gold else "failed",
+    )
+    summary = cut(summary, "summary")
     write_report(summary, f"{paths.predictions}_reports/summary_{run_id}")
     return summary

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,8 +121,11 @@ def run_summary(
     storage_method: str = "spark_ml",
     report_errors: bool = True,
     timestamp: str | None = None,
+    failures: Sequence[str] = (),
+    gold_status: str = "completed",
 ) -> DataFrame:
-    """One nested row about a whole run; sections of steps that did not run hold defaults."""
+    """One nested row about a whole run; sections of steps that did not run hold defaults. ``failures``
+    are messages of failed steps; they join the issues."""
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if timestamp is None else F.lit(timestamp)
     nulls = lambda kind: F.lit(None).cast(kind)
     base = spark.range(1).select(
@@ -154,6 +157,8 @@ def run_summary(
         alerts,
         {"bronze": F.col("bronze.errors"), "silver": F.col("silver.errors")} if report_errors else None,
     )
+    if failures:
+        issues = F.concat(issues, F.array(*map(F.lit, failures)))
     return base.select(
         F.lit("end_to_end_integrated").alias("pipeline_type"),
         now.alias("completion_timestamp"),
@@ -167,7 +172,7 @@ def run_summary(
                 F.col("f.column_count").alias("feature_columns"),
                 F.col("l.row_count").alias("label_rows"),
                 F.col("l.column_count").alias("label_columns"),
-                F.lit("completed").alias("status"),
+                F.lit(gold_status).alias("status"),
             ).alias("gold_layer"),
         ).alias("data_processing"),
         F.struct(

@@ -7,7 +7,6 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 _scopes: list[list[str]] = []
@@ -56,16 +55,3 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """``df`` marked for broadcast if it is proven to be small, else a written copy left to Spark.
-
-    ``df`` is a fitted table (caps per date, counts per class) that is needed several times. At most
-    ``max_rows + 1`` rows are fetched; a table within the bound becomes a literal relation, so its
-    plan is not run again. A larger one is written to scratch and joined by shuffle.
-    """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
-    return cut(df, "fitted")

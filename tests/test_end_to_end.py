@@ -134,3 +134,22 @@ def test_running_again_changes_nothing(spark, run):
     medallion.write_bronze(spark, "lms", files["lms"], f"{root}/bronze", [MONTHS[3]])
     medallion.write_silver(spark, "lms", f"{root}/bronze", f"{root}/silver", [MONTHS[3]])
     assert read_partitions(spark, f"{root}/silver/lms").count() == before
+
+
+def test_the_run_goes_on_after_failures(spark, run, tmp_path):
+    """Without a source, and with a column missing, logs and a summary are written that name the cause."""
+    files = dict(run[0])
+    del files["clickstream"]
+    bad = str(tmp_path / "attributes.csv")
+    spark.read.option("header", True).csv(files["attributes"]).drop("SSN").write.option("header", True).csv(bad)
+    root = str(tmp_path / "root")
+    files["attributes"] = bad
+    summary = medallion.run_all(spark, files, root, "broken", start=MONTHS[0], end=MONTHS[-1]).first()
+    assert summary["overall_status"] == "completed_with_issues"
+    text = "\n".join(summary["issues"])
+    for part in ("bronze clickstream: no source", "silver attributes: ValueError", "ssn", "gold: ", "No feature data generated"):
+        assert part in text
+    for part in ("Model training failed", "Prediction generation failed", "Model monitoring failed"):
+        assert part in text
+    assert summary["data_processing"]["gold_layer"]["status"] == "failed"
+    assert spark.read.parquet(f"{root}/logs/bronze_broken").count() and spark.read.parquet(f"{root}/logs/silver_broken").count()

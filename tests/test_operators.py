@@ -119,15 +119,17 @@ def test_approximate_caps_equal_approx_quantile(spark):
         assert [cap] == df.filter(F.col("snapshot_date") == month).approxQuantile("v", [0.97], 0.01)
 
 
-def test_large_fitted_tables_are_joined_without_broadcast(spark, monkeypatch):
-    from featuremart.sources import scratch
-
-    df = spark.range(50).select(F.col("id").alias("k"))
-    small = scratch.small_side(df, max_rows=50)
-    large = scratch.small_side(df, max_rows=49)
-    hint = lambda x: "broadcast" in x._jdf.queryExecution().analyzed().toString().lower()
-    assert hint(small) and not hint(large)
-    assert rows(small) == rows(large) == rows(df)
+def test_a_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
+    from featuremart.operators import quantiles
+
+    real = quantiles.sketch
+    shifted = lambda v, probs, accuracy: real(v, [min(1.0, p + 0.05) for p in probs], accuracy)
+    df = spark.range(100_000).select(F.col("id").cast("double").alias("v"))
+    good = quantiles.linear_percentiles(df, "v", [50]).first()[0]
+    monkeypatch.setattr(quantiles, "sketch", shifted)
+    with pytest.raises(Exception, match="outside its bracket"):
+        quantiles.linear_percentiles(df, "v", [50]).collect()
+    assert good == 49999.5
 
 
 # ---- imputation, encoding, scaling

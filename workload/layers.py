@@ -11,7 +11,7 @@ from featuremart.operators.schema import declare, fill_numeric, lower_columns
 from featuremart.operators.tokens import fit_tokens, long_token_counts, pivot_tokens
 from featuremart.plans import gold, silver
 from featuremart.sources import spine
-from featuremart.sources.scratch import scratch_dir, small_side
+from featuremart.sources.scratch import scratch_dir
 from featuremart.sources.tables import (
     partition_counts,
     read_partitions,
@@ -308,7 +308,7 @@ def quantile_clip_approx(t: Tables):
     caps = fit_caps(rows, ["l_extendedprice"], q=0.97, relative_error=0.01)
     price, cap = F.col("l_extendedprice"), F.col("cap")
     ranks = (
-        rows.join(small_side(caps).withColumnRenamed("l_extendedprice", "cap"), "snapshot_date")
+        rows.join(caps.withColumnRenamed("l_extendedprice", "cap"), "snapshot_date")
         .groupBy("snapshot_date")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(price < cap).alias("below"), F.count_if(price <= cap).alias("upto"))
     )
