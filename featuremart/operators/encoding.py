@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .schema import quoted
 
-MAX_CATEGORIES = 1_000
+#: Categories or tokens with a column of their own in the wide forms; the rest share one.
+WIDEST = 1_000
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -42,35 +43,43 @@ def category_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_categories(
-    df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES
-) -> dict[str, list[str]]:
+    df: DataFrame, columns: Sequence[str], widest: int = WIDEST
+) -> dict[str, list[str | None]]:
     """Categories per column in index order.
 
-    They become columns, so their number has to be bounded: a column with more than
-    ``max_categories`` of them is refused. :func:`category_counts` has no such limit.
+    They become columns, so a column names its ``widest`` most frequent categories; when there are
+    more, ``None`` stands at the end for all the others. :func:`category_counts` names every one.
     """
-    rows = category_counts(df, columns).limit(max_categories * len(columns) + 1).collect()
-    found: dict[str, list[tuple[int, str]]] = {c: [] for c in columns}
-    for row in rows:
-        found[row["column"]].append((-row["n"], row["category"]))
-    too_many = [c for c, entries in found.items() if len(entries) > max_categories]
-    if too_many or len(rows) > max_categories * len(columns):
-        raise ValueError(f"more than {max_categories} categories in {too_many or list(columns)}")
-    return {c: [category for _, category in sorted(entries)] for c, entries in found.items()}
+    # Spark keeps the first ranks of each task before it shuffles.
+    rows = category_index(df, columns).filter(F.col("index") <= widest).collect()
+    found: dict[str, list[str | None]] = {c: [] for c in columns}
+    for row in sorted(rows, key=lambda r: r["index"]):
+        found[row["column"]].append(row["category"] if row["index"] < widest else None)
+    return found
 
 
-def one_hot(df: DataFrame, vocabularies: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Replace each column by 0/1 columns ``<column>_<category in lower case>``.
+def one_hot(df: DataFrame, vocabularies: Mapping[str, Sequence[str | None]]) -> DataFrame:
+    """Replace each column by 0/1 columns ``<column>_<category in lower case>``, and for ``None`` in its
+    vocabulary by ``<column>__other``, which marks every value without a column of its own.
 
-    Null and unseen values give zeros everywhere.
+    Null gives zeros everywhere, and so do unseen values of a vocabulary without ``None``.
     """
-    names = Counter(f"{c}_{v.lower()}" for c, values in vocabularies.items() for v in values)
+
+    def name(column: str, value: str | None) -> str:
+        return f"{column}__other" if value is None else f"{column}_{value.lower()}"
+
+    def flag(column: str, value: str | None) -> Column:
+        if value is not None:
+            return quoted(column) == F.lit(value)
+        return ~quoted(column).isin([v for v in vocabularies[column] if v is not None])
+
+    names = Counter(name(c, v) for c, values in vocabularies.items() for v in values)
     clashes = [n for n, k in names.items() if k > 1 or n in df.columns]
     if clashes:
         raise ValueError(f"one-hot column names collide: {clashes}")
     kept = [quoted(c) for c in df.columns if c not in vocabularies]
     flags = [
-        F.coalesce((quoted(c) == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v.lower()}")
+        F.coalesce(flag(c, v).cast("int"), F.lit(0)).alias(name(c, v))
         for c, values in vocabularies.items()
         for v in values
     ]

@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut
 from .schema import quoted
 
-MAX_CLASSES = 100
-
 
 @dataclass(frozen=True)
 class TimeWindows:
@@ -57,26 +55,26 @@ def time_split(df: DataFrame, column: str, windows: TimeWindows, name: str = "sp
     return df.withColumn(name, window_name(F.col(column), windows))
 
 
-def _allocate(counts: Mapping, draws: int) -> dict:
-    """Share ``draws`` among the classes in proportion, whole numbers by largest remainder."""
-    total = sum(counts.values())
-    exact = {k: draws * n / total for k, n in counts.items()}
-    out = {k: math.floor(x) for k, x in exact.items()}
-    by_remainder = sorted(exact, key=lambda k: (out[k] - exact[k], str(k)))
-    for k in by_remainder[: draws - sum(out.values())]:
-        out[k] += 1
-    return out
+def _shared(classes: DataFrame, of: str, draws: int, name: str) -> DataFrame:
+    """Column ``name``: ``draws`` shared among the classes in proportion to column ``of``, whole numbers
+    by largest remainder, equal remainders by class name. Classes are ranked here, not rows."""
+    total = classes.agg(F.sum(of)).first()[0]
+    exact = F.lit(float(draws)) * F.col(of) / F.lit(float(total or 1))
+    parts = classes.withColumn(name, F.floor(exact).cast("long")).withColumn("_over", exact - F.col(name))
+    left = draws - (parts.agg(F.sum(name)).first()[0] or 0)
+    order = Window.orderBy(F.desc("_over"), F.col("_label").cast("string"))
+    more = (F.row_number().over(order) <= left).cast("long")
+    return parts.withColumn(name, F.col(name) + more).drop("_over")
 
 
-def stratified_sizes(counts: Mapping, test_size: float = 0.2, val_size: float = 0.2) -> dict:
-    """(test, validation) rows per class. The test part is cut first; the validation part is cut from
-    the rest with its share rescaled. Each part's total is rounded up."""
-    total = sum(counts.values())
-    rest = _allocate(counts, total - math.ceil(test_size * total))
-    left = sum(rest.values())
-    share = val_size / (1 - test_size)
-    train = _allocate(rest, left - math.ceil(share * left)) if left else rest
-    return {k: (counts[k] - rest[k], rest[k] - train[k]) for k in counts}
+def stratified_sizes(classes: DataFrame, test_size: float = 0.2, val_size: float = 0.2) -> DataFrame:
+    """``_label, n_test, n_val`` for classes ``_label, _n``. The test part is cut first; the validation part
+    is cut from the rest with its share rescaled. Each part's total is rounded up."""
+    total = classes.agg(F.sum("_n")).first()[0] or 0
+    left = total - math.ceil(test_size * total)
+    rest = _shared(classes, "_n", left, "_rest")
+    train = _shared(rest, "_rest", left - math.ceil(val_size / (1 - test_size) * left), "_train")
+    return train.selectExpr("_label", "_n - _rest AS n_test", "_rest - _train AS n_val")
 
 
 def split_hash(key: Column, seed: int) -> Column:
@@ -97,64 +95,49 @@ def stratified_split(
 
     Rows are ordered within their class by :func:`split_hash`; the first are test, the next
     validation. Rows that share a key and class stay together, so the sizes are exact when ``key`` is
-    unique. Only the hash at each cut is searched for: rows are counted per hash prefix, then rows
-    are ranked in the one prefix that holds the cut. Assigning rows is a comparison with the cuts of
-    their class, without a shuffle.
+    unique. Only the hash at each cut is searched for: rows are counted by the first three digits, the
+    rows that share them with a cut are written and counted by six, and the rest, one of 16 million
+    parts of a class, is ranked. Counts and cuts are tables, whatever the number of classes. Assigning
+    rows is a comparison with the cuts of their class; a row without a label is in no part (null).
     """
     hashed = df.select(quoted(label).alias("_label"), split_hash(quoted(key), seed).alias("_hash")).filter(
         F.col("_label").isNotNull()
     )
-    prefix = F.substring("_hash", 1, 3)
-    per_prefix = hashed.groupBy("_label", prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("_n"))
-    # At most 4096 prefixes per class.
-    rows = per_prefix.limit(4096 * MAX_CLASSES + 1).toArrow().to_pylist()
-    labels = sorted({r["_label"] for r in rows})
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    by_label = {l: sorted((r["_prefix"], r["_n"]) for r in rows if r["_label"] == l) for l in labels}
-    sizes = stratified_sizes({l: sum(n for _, n in by_label[l]) for l in labels}, test_size, val_size)
-
-    wanted = []  # (label, prefix, rank inside the prefix, 'test' or 'val')
-    for l in labels:
-        n_test, n_val = sizes[l]
-        for part, rank in (("test", n_test), ("val", n_test + n_val)):
-            before = 0
-            for pre, n in by_label[l]:
-                if before < rank <= before + n:
-                    wanted.append((l, pre, rank - before, part))
-                before += n
-    last_hash = _cut_hashes(hashed, prefix, wanted)
-
-    branch = None
-    for l in labels:
-        part = F.lit("train")
-        for which in ("val", "test"):
-            if (l, which) in last_hash:
-                part = F.when(F.col("_hash") <= F.lit(last_hash[(l, which)]), which).otherwise(part)
-        condition = quoted(label) == F.lit(l)
-        branch = F.when(condition, part) if branch is None else branch.when(condition, part)
-    part = F.lit(None).cast("string") if branch is None else branch
-    return df.withColumn("_hash", split_hash(quoted(key), seed)).withColumn(name, part).drop("_hash")
-
-
-def _cut_hashes(hashed: DataFrame, prefix: Column, wanted: list) -> dict:
-    """The hash at each wanted (label, prefix, rank): one row each."""
-    if not wanted:
-        return {}
-    in_prefix = None
-    for l, pre, _, _ in wanted:
-        hit = (F.col("_label") == F.lit(l)) & F.col("_hash").startswith(pre)
-        in_prefix = hit if in_prefix is None else in_prefix | hit
-    order = Window.partitionBy("_label", "_prefix").orderBy("_hash")
-    ranked = (
-        hashed.filter(in_prefix).withColumn("_prefix", prefix).withColumn("_rank", F.row_number().over(order))
+    first, deeper = F.substring("_hash", 1, 3).alias("_prefix"), F.substring("_hash", 1, 6).alias("_deep")
+    counted = cut(hashed.groupBy("_label", first).agg(F.count(F.lit(1)).alias("_n")), "prefix-counts")
+    classes = counted.groupBy("_label").agg(F.sum("_n").alias("_n"))
+    sizes = stratified_sizes(classes, test_size, val_size)
+    parts = {"test": F.col("n_test"), "val": F.col("n_test") + F.col("n_val")}
+    last = F.array(*[F.struct(F.lit(p).alias("_part"), n.alias("_rank")) for p, n in parts.items()])
+    ranks = sizes.select("_label", F.explode(last).alias("c")).select("_label", "c.*").filter("_rank > 0")
+    at = cut(_narrowed(counted, ranks, ["_label"], "_prefix"), "cut-prefixes")
+
+    inside = hashed.select("_label", "_hash", first, deeper).join(at, ["_label", "_prefix"], "left_semi")
+    inside = cut(inside, "cut-rows")
+    counted = inside.groupBy("_label", "_prefix", "_deep").agg(F.count(F.lit(1)).alias("_n"))
+    at = cut(_narrowed(counted, at, ["_label", "_prefix"], "_deep"), "cut-deeper").drop("_prefix")
+    order = Window.partitionBy("_label", "_deep").orderBy("_hash")
+    ranked = inside.join(at, ["_label", "_deep"], "left_semi").withColumn("_rank", F.row_number().over(order))
+    found = ranked.drop("_prefix").join(at, ["_label", "_deep", "_rank"])
+    hash_of = [F.max(F.when(F.col("_part") == p, F.col("_hash"))).alias(f"_{p}") for p in parts]
+    cuts = cut(found.groupBy(F.col("_label").alias("_class")).agg(*hash_of), "cuts")
+
+    placed = df.withColumn("_hash", split_hash(quoted(key), seed)).join(cuts, quoted(label) == F.col("_class"), "left")
+    part = (
+        F.when(quoted(label).isNull(), F.lit(None).cast("string"))
+        .when(F.col("_hash") <= F.col("_test"), "test")
+        .when(F.col("_hash") <= F.col("_val"), "val")
+        .otherwise("train")
     )
-    at_cut = None
-    for l, pre, rank, _ in wanted:
-        hit = (F.col("_label") == F.lit(l)) & (F.col("_prefix") == pre) & (F.col("_rank") == rank)
-        at_cut = hit if at_cut is None else at_cut | hit
-    found = {(r["_label"], r["_prefix"], r["_rank"]): r["_hash"] for r in ranked.filter(at_cut).collect()}
-    return {(l, part): found[(l, pre, rank)] for l, pre, rank, part in wanted}
+    return placed.withColumn(name, part).drop("_hash", "_class", "_test", "_val")
+
+
+def _narrowed(counts: DataFrame, wanted: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    """The prefix that holds each wanted rank, and the rank inside it."""
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(prefix)) - F.col("_n")
+    placed = counts.withColumn("_before", before).join(wanted, keys)
+    hit = F.col("_rank").between(F.col("_before") + 1, F.col("_before") + F.col("_n"))
+    return placed.filter(hit).select(*keys, "_part", prefix, (F.col("_rank") - F.col("_before")).alias("_rank"))
 
 
 def class_distribution(df: DataFrame, label: str = "label", split: str = "split") -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsing import token_counts, token_list
-from .encoding import MAX_CATEGORIES
+from .encoding import WIDEST
 from .schema import quoted
 
 
@@ -24,23 +24,32 @@ def token_vocabulary(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.explode(token_list(quoted(column))).alias("token")).distinct()
 
 
-def fit_tokens(df: DataFrame, column: str, max_tokens: int = MAX_CATEGORIES) -> list[str]:
-    """The vocabulary in alphabetical order; refused when there are too many tokens for columns
-    (:func:`long_token_counts` has no such limit)."""
-    rows = token_vocabulary(df, column).limit(max_tokens + 1).collect()
-    if len(rows) > max_tokens:
-        raise ValueError(f"more than {max_tokens} tokens in {column}")
-    return sorted(r["token"] for r in rows)
+def fit_tokens(df: DataFrame, column: str, widest: int = WIDEST) -> list[str | None]:
+    """The ``widest`` most frequent tokens in alphabetical order; when there are more, ``None`` stands at
+    the end for all the others (:func:`long_token_counts` names every one)."""
+    counts = df.select(F.explode(token_list(quoted(column))).alias("token")).groupBy("token").count()
+    rows = counts.orderBy(F.desc("count"), "token").limit(widest + 1).collect()
+    return sorted(r["token"] for r in rows[:widest]) + [None] * (len(rows) > widest)
 
 
-def pivot_tokens(df: DataFrame, column: str, tokens: Sequence[str]) -> DataFrame:
-    """One integer column per token, 0 where the row lacks it. One vocabulary serves all partitions,
+def pivot_tokens(df: DataFrame, column: str, tokens: Sequence[str | None]) -> DataFrame:
+    """One integer column per token, 0 where the row lacks it. ``None`` among them gives the column
+    ``<column>__other`` that counts the tokens without a column. One vocabulary serves all partitions,
     so all of them get the same columns. Nothing is shuffled."""
-    clashes = [t for t in tokens if t in df.columns]
+    named, rest = [t for t in tokens if t is not None], f"{column}__other"
+    names = [rest if t is None else t for t in tokens]
+    clashes = [n for n in names if n in df.columns or names.count(n) > 1]
     if clashes:
         raise ValueError(f"tokens collide with columns: {clashes}")
+
+    def total(t: str | None) -> Column:
+        if t is not None:
+            return F.try_element_at("_counts", F.lit(t))
+        others = F.map_values(F.map_filter("_counts", lambda k, n: ~k.isin(named)))
+        return F.aggregate(others, F.lit(0), lambda a, n: a + n.cast("int"))
+
     counted = df.withColumn("_counts", token_counts(quoted(column)))
     return counted.select(
         *[quoted(c) for c in df.columns],
-        *[F.coalesce(F.try_element_at("_counts", F.lit(t)), F.lit(0)).alias(t) for t in tokens],
+        *[F.coalesce(total(t), F.lit(0)).alias(n) for t, n in zip(tokens, names, strict=True)],
     )

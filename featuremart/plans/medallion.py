@@ -28,9 +28,11 @@ from .monitoring import monitoring_report, write_report
 from .runlog import partition_log, run_summary
 from .silver import write_silver
 from .training import (
+    check_pairing,
     evaluate_predictions,
     labelled_rows,
     load_run,
+    pairing_counts,
     save_run,
     score_rows,
     train_run,
@@ -148,8 +150,11 @@ def run_all(
     def train() -> str:
         with scratch_scope(spark):
             rows = cut(labelled_rows(features, labels, windows), "labelled-rows")
+            check_pairing(pairing_counts(features, labels, rows))
             oot = rows.filter(F.col("window") == "oot")
-            trained = train_run(rows.filter(F.col("window") == "train"), grid, baseline_params=baseline_params)
+            trained = train_run(
+                rows.filter(F.col("window") == "train"), grid, key="loan_id", baseline_params=baseline_params
+            )
             return save_run(spark, trained, run_id, paths.models, oot)
 
     def score() -> tuple[DataFrame, dict]:

@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scores import predicted_class
@@ -18,6 +18,7 @@ from ..operators.scaling import fit_scaler, scale
 from ..operators.splits import TimeWindows, stratified_split, time_split
 from ..sources.scratch import cut
 from ..sources.tables import SNAPSHOT
+from .gold import LABEL_MOB
 
 ID_COLUMNS = ("customer_id", SNAPSHOT, "loan_id", "label_date", LABEL, "label_def", "window", "split")
 
@@ -25,14 +26,56 @@ ID_COLUMNS = ("customer_id", SNAPSHOT, "loan_id", "label_date", LABEL, "label_de
 SMALL_GRID = {"n_estimators": [50, 100], "max_depth": [4, 6], "learning_rate": [0.05, 0.1]}
 
 
-def labelled_rows(features: DataFrame, labels: DataFrame, windows: TimeWindows) -> DataFrame:
-    """Features with label, label date and window ('train', 'oot', 'none'), paired by customer.
+def labelled_rows(
+    features: DataFrame, labels: DataFrame, windows: TimeWindows, mob: int = LABEL_MOB
+) -> DataFrame:
+    """One row per loan: its label, label date and window ('train', 'oot', 'none'), and the customer's
+    latest features at or before the loan's start, ``mob`` months before the label's date.
+
+    The label's date decides the window. A row dated on the training date itself lies in neither. A loan
+    whose customer has no features by its start gives no row; :func:`pairing_counts` counts them.
 
-    The label's date decides the window. A row dated on the training date itself lies in neither.
+    Which snapshot a loan takes is found on distinct (customer, day) pairs, so neither features nor loans
+    are paired with all the others of a customer.
     """
-    dated = labels.select("customer_id", "loan_id", LABEL, F.col(SNAPSHOT).alias("label_date"))
-    paired = features.join(dated, on="customer_id", how="inner")
-    return time_split(paired, "label_date", windows, "window")
+    dated = labels.select(
+        "customer_id",
+        "loan_id",
+        LABEL,
+        F.col(SNAPSHOT).alias("label_date"),
+        F.add_months(F.col(SNAPSHOT), -mob).alias("_start"),
+    )
+    days = (
+        features.select("customer_id", F.col(SNAPSHOT).alias("_day"), F.col(SNAPSHOT).alias("_known"))
+        .unionByName(dated.select("customer_id", F.col("_start").alias("_day")), allowMissingColumns=True)
+        .groupBy("customer_id", "_day")
+        .agg(F.max("_known").alias("_known"))
+    )
+    so_far = Window.partitionBy("customer_id").orderBy("_day")
+    known = days.select("customer_id", F.col("_day").alias("_start"), F.max("_known").over(so_far).alias(SNAPSHOT))
+    paired = dated.join(known, ["customer_id", "_start"]).drop("_start").join(features, ["customer_id", SNAPSHOT])
+    ordered = paired.select(*[quoted(c) for c in features.columns], "loan_id", LABEL, "label_date")
+    return time_split(ordered, "label_date", windows, "window")
+
+
+def pairing_counts(features: DataFrame, labels: DataFrame, paired: DataFrame) -> dict:
+    """What the gate before training looks at: loans, loans with features, and keys that occur again."""
+
+    def again(df: DataFrame, *keys: str) -> int:
+        return df.groupBy(*keys).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0))).first()[0]
+
+    return {
+        "loans": labels.count(),
+        "paired": paired.count(),
+        "repeated_features": again(features, "customer_id", SNAPSHOT),
+        "repeated_loans": again(labels, "loan_id"),
+    }
+
+
+def check_pairing(counts: Mapping[str, int]) -> None:
+    """Stop when a key repeats or nothing pairs: split sizes and labels would be wrong."""
+    if counts["repeated_features"] or counts["repeated_loans"] or not counts["paired"]:
+        raise ValueError(f"features and labels do not pair one to one: {dict(counts)}")
 
 
 @dataclass

@@ -165,8 +165,28 @@ def test_category_order_and_limit(spark):
     df = spark.createDataFrame([("z",), ("z",), ("m",), ("a",)], "c string")
     assert encoding.fit_categories(df, ["c"])["c"] == ["z", "a", "m"]
     assert [r["category"] for r in encoding.category_index(df, ["c"]).orderBy("index").collect()] == ["z", "a", "m"]
-    with pytest.raises(ValueError, match="more than 2"):
-        encoding.fit_categories(df, ["c"], max_categories=2)
+    few = encoding.fit_categories(df, ["c"], widest=2)
+    assert few["c"] == ["z", "a", None]
+    out = encoding.one_hot(df.union(spark.createDataFrame([(None,)], "c string")), few)
+    assert out.columns == ["c_z", "c_a", "c__other"]
+    assert rows(out) == sorted([(1, 0, 0), (1, 0, 0), (0, 0, 1), (0, 1, 0), (0, 0, 0)], key=repr)
+
+
+def test_no_limit_on_categories_or_classes(spark):
+    """1,500 categories: the wide form counts those without a column; 150 classes keep exact parts."""
+    df = spark.range(4000).select("id", F.concat(F.lit("c"), (F.col("id") % 1500).cast("string")).alias("c"))
+    fitted = encoding.fit_categories(df, ["c"])
+    assert len(fitted["c"]) == 1001 and fitted["c"][-1] is None
+    named = df.filter(F.col("c").isin([v for v in fitted["c"] if v])).count()
+    assert encoding.one_hot(df, fitted).agg(F.sum("c__other")).first()[0] == 4000 - named
+    split = splits.stratified_split(df.select("id", (F.col("id") % 150).alias("label")), "id")
+    assert {r["split"]: r["rows"] for r in splits.split_report(split).collect()} == {"test": 800, "val": 800, "train": 2400}
+
+
+def test_split_without_labels(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id long, label int")
+    assert rows(splits.stratified_split(df, "id")) == sorted([(1, None, None), (2, None, None)], key=repr)
+    assert splits.stratified_split(df.limit(0), "id").count() == 0
 
 
 def test_tokens(spark):
@@ -175,8 +195,11 @@ def test_tokens(spark):
     assert words == ["auto_loan", "credit-builder_loan"]
     assert rows(tokens.pivot_tokens(df, "t", words).drop("t")) == [(1, 1, 1), (2, 0, 0), (3, 2, 0)]
     assert rows(tokens.long_token_counts(df, "t", ["id"])) == [(1, "auto_loan", 1), (1, "credit-builder_loan", 1), (3, "auto_loan", 2)]
-    with pytest.raises(ValueError, match="more than 1"):
-        tokens.fit_tokens(df, "t", max_tokens=1)
+    few = tokens.fit_tokens(df, "t", widest=1)
+    assert few == ["auto_loan", None]
+    out = tokens.pivot_tokens(df, "t", few).drop("t")
+    assert out.columns == ["id", "auto_loan", "t__other"]
+    assert rows(out) == [(1, 1, 1), (2, 0, 0), (3, 2, 0)]
 
 
 def test_scale_uses_population_deviation_and_keeps_constants_at_zero(spark):
@@ -262,8 +285,11 @@ def test_window_names(spark):
 
 
 @pytest.mark.parametrize("counts", [{0: 58, 1: 341}, {0: 5, 1: 5}, {0: 1, 1: 2}, {"a": 7, "b": 33, "c": 960}, {0: 3}])
-def test_sizes(counts):
-    sizes = splits.stratified_sizes(counts)
+def test_sizes(spark, counts):
+    classes = spark.createDataFrame([(str(k), n) for k, n in counts.items()], "_label string, _n long")
+    counts = {str(k): n for k, n in counts.items()}
+    sizes = {r["_label"]: (r["n_test"], r["n_val"]) for r in splits.stratified_sizes(classes).collect()}
+    assert sizes.keys() == counts.keys()
     total = sum(counts.values())
     n_test = sum(t for t, _ in sizes.values())
     n_val = sum(v for _, v in sizes.values())

@@ -144,3 +144,24 @@ def test_search_hands_back_the_winner_fitted_on_train(spark):
     assert found.best_params == best_candidate(found.candidates)
     again = boosting.train(rows.filter("split = 'train'"), found.best_params)
     assert again.toDebugString.split("\n", 1)[1] == found.best_model.toDebugString.split("\n", 1)[1]
+
+
+def test_pairing_stops_on_repeated_keys(spark):
+    from featuremart.operators.splits import TimeWindows
+    from featuremart.plans import training
+
+    day = lambda m: dt.date(2024, m, 1)
+    features = spark.createDataFrame([("a", day(1), 1), ("a", day(3), 3), ("a", day(12), 9)], "customer_id string, snapshot_date date, x int")
+    labels = spark.createDataFrame(
+        [("l1", "a", 1, day(9)), ("l2", "a", 0, day(8)), ("l3", "a", 0, day(6)), ("l4", "b", 1, day(9))],
+        "loan_id string, customer_id string, label int, snapshot_date date",
+    )
+    windows = TimeWindows.before(dt.date(2024, 10, 1))
+    paired = training.labelled_rows(features, labels, windows)
+    assert {(r["loan_id"], r["x"]) for r in paired.collect()} == {("l1", 3), ("l2", 1)}
+    counts = training.pairing_counts(features, labels, paired)
+    assert counts == {"loans": 4, "paired": 2, "repeated_features": 0, "repeated_loans": 0}
+    training.check_pairing(counts)
+    twice = features.union(features.limit(1))
+    with pytest.raises(ValueError, match="'repeated_features': 1"):
+        training.check_pairing(training.pairing_counts(twice, labels, training.labelled_rows(twice, labels, windows)))

@@ -14,6 +14,7 @@ from featuremart.operators.pointintime import point_in_time_means
 from featuremart.operators.profiling import table_shape
 from featuremart.operators.scaling import fit_scaler, scale
 from featuremart.plans import gold, silver
+from featuremart.plans.training import labelled_rows
 
 from .registry import Tables, query
 from .standins import (
@@ -118,6 +119,35 @@ def pair_features_labels(t: Tables):
     return pair_by_key(features, labels, "doc_id").orderBy("doc_id")
 
 
+PAIR_WINDOWS = splits.TimeWindows.before(date(1998, 1, 1))
+
+
+@query(
+    "labelled_rows",
+    f"""
+WITH {LMS_SQL},
+placed AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date,
+                  count(*) AS orders_placed FROM orders GROUP BY 1, 2),
+latest AS (
+  SELECT l.loan_id, l.customer_id, l.label, l.snapshot_date AS label_date, max(p.snapshot_date) AS snapshot_date
+  FROM labels_built l JOIN placed p
+    ON p.customer_id = l.customer_id AND p.snapshot_date <= CAST(l.snapshot_date - INTERVAL 6 MONTH AS DATE)
+  GROUP BY 1, 2, 3, 4)
+SELECT customer_id, snapshot_date, orders_placed, loan_id, label, label_date,
+       CASE WHEN label_date BETWEEN DATE '{PAIR_WINDOWS.train_start}' AND DATE '{PAIR_WINDOWS.train_end}' THEN 'train'
+            WHEN label_date BETWEEN DATE '{PAIR_WINDOWS.oot_start}' AND DATE '{PAIR_WINDOWS.oot_end}' THEN 'oot'
+            ELSE 'none' END AS "window"
+FROM latest JOIN placed USING (customer_id, snapshot_date)""",
+)
+def labelled(t: Tables):
+    """Months with orders play the features: customers have many of them, and many loans."""
+    placed = t.orders.groupBy(
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.trunc("o_orderdate", "MM").alias("snapshot_date"),
+    ).agg(F.count(F.lit(1)).alias("orders_placed"))
+    return labelled_rows(placed, gold.build_labels(silver.clean_lms(raw_lms(t))), PAIR_WINDOWS)
+
+
 @query(
     "pairing_gate",
     """
