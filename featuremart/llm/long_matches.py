@@ -215,8 +215,10 @@ def repeated_spans(texts: DataFrame, length: int = 400) -> DataFrame:
     whole = whole.groupBy("id", "dig").agg(F.collect_list(pair).alias("pairs")).mapInArrow(_pairs, _SPANS)
     spans = indexed.unionByName(whole)
     if need.where(f"kinds > {MOST_SEGMENTS}").limit(1).count():
-        hot = found.where("hot").select("id", "dig", "text", F.filter("wanted", lambda w: w["bucket"] < 0).alias("wanted"))
-        strings = cut(hot.mapInArrow(_sliced(length), _CUTS).mapInArrow(_strings(length), "h1 long, h2 long, id long, dig long, at long"), "strings")
+        # part of the same plan, not a written table, so that one shuffle of the texts serves all joins with them
+        hot = texts.join(wanted.where("hot"), ["id", "dig"]).dropDuplicates(["id", "dig"])
+        hot = hot.select("id", "dig", "text", F.filter("wanted", lambda w: w["bucket"] < 0).alias("wanted"))
+        strings = hot.mapInArrow(_sliced(length), _CUTS).mapInArrow(_strings(length), "h1 long, h2 long, id long, dig long, at long")
         twice = strings.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
         again = strings.join(twice, ["h1", "h2"], "left_semi").groupBy("id", "dig").agg(F.collect_set("at").alias("at"))
         spans = spans.unionByName(again.mapInArrow(_ranges(length), _SPANS))
