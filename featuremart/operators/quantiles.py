@@ -28,20 +28,22 @@ def sketch(value: str, probs: Sequence[float], accuracy: int) -> Column:
 
 def _brackets(rows: DataFrame, probs: Sequence[float], keys: Sequence[Column], accuracy: int) -> DataFrame:
     """Per group: the row count, and for each probability a lower and an upper bound of its value."""
-    margin, k = 4.0 / accuracy, len(probs)
-    around = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    k, margins = len(probs), [4.0 / accuracy]
+    while margins[-1] < 1:
+        margins.append(margins[-1] * 4)
+    around = [x for m in margins for x in [max(0.0, p - m) for p in probs] + [min(1.0, p + m) for p in probs]]
     sketched = rows.groupBy(*keys).agg(
         F.expr("count(1) AS _n"),
-        F.expr("min(_v) AS _min"),
-        F.expr("max(_v) AS _max"),
         sketch("_v", around, accuracy).alias("_sketch"),
     )
-    # A group with fewer rows than the sketch has steps is ordered whole.
-    return sketched.select(
+    # The narrowest margin of at least four ranks: wanted ranks lie within one of p * n, the sketch errs by
+    # less than one more, or by n / accuracy where that is more.
+    level = f"CAST(least({len(margins) - 1}, greatest(0, ceil(ln({accuracy} / _n) / ln(4)))) AS INT)"
+    return sketched.withColumn("_at", F.expr(f"1 + {2 * k} * {level}")).select(
         *keys,
         "_n",
-        F.expr(f"IF(_n < {accuracy}, array_repeat(_min, {k}), slice(_sketch, 1, {k})) AS _low"),
-        F.expr(f"IF(_n < {accuracy}, array_repeat(_max, {k}), slice(_sketch, {k + 1}, {k})) AS _high"),
+        F.expr(f"slice(_sketch, _at, {k}) AS _low"),
+        F.expr(f"slice(_sketch, _at + {k}, {k}) AS _high"),
     )
 
 

@@ -6,12 +6,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.cleaning import to_date
 from ..operators.schema import lower_columns
 from ..operators.splits import TimeWindows
-from ..sources.scratch import cut, scratch_scope
+from ..sources.scratch import cut, remove_path, scratch_scope
 from ..sources.spine import spine_between
 from ..sources.tables import (
     SNAPSHOT,
@@ -21,6 +22,7 @@ from ..sources.tables import (
     read_raw_csv,
     slice_snapshots,
     union_all,
+    unreadable_dates,
     write_partitions,
 )
 from .gold import write_gold
@@ -62,10 +64,22 @@ def spine_dates(spark: SparkSession, start: str, end: str) -> list[str]:
 
 def write_bronze(
     spark: SparkSession, table: str, source: str, bronze_root: str, dates: Sequence[str], fmt: str = "parquet"
-) -> None:
-    """Slice one raw table into all its snapshot partitions with a single scan."""
+) -> int:
+    """Slice one raw table into all its snapshot partitions with a single scan.
+
+    Returns the number of rows without a readable snapshot date. They are seen during that scan; if there
+    are any, a second one writes them to ``<bronze_root>_rejects/<table>``.
+    """
     raw = lower_columns(read_raw_csv(spark, source))
-    write_partitions(slice_snapshots(raw, dates), f"{bronze_root}/{table}", fmt=fmt, dates=dates)
+    seen = Observation()
+    rows = raw.observe(seen, F.count_if(to_date(F.col(SNAPSHOT)).isNull()).alias("unreadable"))
+    write_partitions(slice_snapshots(rows, dates), f"{bronze_root}/{table}", fmt=fmt, dates=dates)
+    rejects = f"{bronze_root}_rejects/{table}"
+    if not seen.get.get("unreadable"):
+        remove_path(spark, rejects)
+        return 0
+    unreadable_dates(raw).write.mode("overwrite").parquet(rejects)
+    return spark.read.schema(raw.schema).parquet(rejects).count()
 
 
 def layer_partition_log(
@@ -134,7 +148,9 @@ def run_all(
 
     present = [t for t in TABLES if t in sources]
     for t in present:
-        attempt(f"bronze {t}", write_bronze, spark, t, sources[t], paths.bronze, dates, bronze_format)
+        rejected = attempt(f"bronze {t}", write_bronze, spark, t, sources[t], paths.bronze, dates, bronze_format)
+        if rejected:
+            failures.append(f"bronze {t}: {rejected} rows without a readable snapshot date")
     bronze_log = logged("bronze", paths.bronze, present, bronze_format)
     done = bronze_log.filter(F.col("status") == "processed").select("table_name").distinct()
     good = {r[0] for r in done.collect()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +27,16 @@ def read_raw_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def slice_snapshots(df: DataFrame, dates: Iterable[str], column: str = SNAPSHOT) -> DataFrame:
     """Rows of the wanted snapshot dates, with the date typed. Other rows, and rows without a
-    readable date, belong to no partition."""
+    readable date, belong to no partition; ``unreadable_dates`` has the latter."""
     wanted = [F.lit(d).cast("date") for d in dates]
     return df.withColumn(column, to_date(F.col(column))).filter(F.col(column).isin(*wanted))
 
 
+def unreadable_dates(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
+    """Rows as they came whose snapshot date is missing or can't be read."""
+    return df.filter(to_date(F.col(column)).isNull())
+
+
 def write_partitions(
     df: DataFrame,
     path: str,
@@ -43,7 +48,8 @@ def write_partitions(
     """Overwrite the partitions present in ``df`` and leave the others as they are.
 
     ``dates`` names the partitions this write stands for: one of them that gets no rows loses what an
-    earlier run left there. Which dates got rows is observed during the write, without another pass.
+    earlier run left there. Which dates got rows, and how many, is observed during the write, without
+    another pass; then the written partitions are counted, and a difference is an error.
 
     The rebalance hint gathers a date into few files and splits a date that holds a large share of
     the rows. Turn it off when the input already arrives grouped by date.
@@ -52,7 +58,9 @@ def write_partitions(
     seen = None
     if dates is not None:
         seen = Observation()
-        out = out.observe(seen, F.collect_set(F.col(by).cast("string")).alias("written"))
+        out = out.observe(
+            seen, F.collect_set(F.col(by).cast("string")).alias("written"), F.count(F.lit(1)).alias("rows")
+        )
     writer = (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -63,7 +71,16 @@ def write_partitions(
         writer = writer.option("header", True)
     writer.save(path)
     if seen is not None:
-        drop_partitions(df.sparkSession, path, set(dates) - set(seen.get["written"]), by)
+        written = sorted(seen.get.get("written") or ())
+        drop_partitions(df.sparkSession, path, set(dates) - set(written), by)
+        check_written(df.sparkSession, path, written, seen.get.get("rows") or 0, fmt, by)
+
+
+def check_written(spark: SparkSession, path: str, values: Sequence[str], rows: int, fmt: str, by: str) -> None:
+    """Raise unless the partitions of the values hold ``rows`` rows; of Parquet only footers are read."""
+    found = read_partitions(spark, path, fmt).filter(F.col(by).cast("string").isin(list(values))).count() if values else 0
+    if found != rows:
+        raise RuntimeError(f"{rows} rows were written to {path}, but it holds {found}")
 
 
 def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], by: str = SNAPSHOT) -> None:

@@ -117,3 +117,25 @@ def test_scope_removes_its_scratch_tables(spark, dated, tmp_path):
 
     assert not Path(path.removeprefix("file:").replace("//", "/")).exists()
     assert outside.count() == 30 == spark.read.parquet(str(tmp_path / "kept")).count()
+
+
+def test_a_write_that_lost_rows_is_an_error(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(i, D(2023, 1, 1)) for i in range(9)], "x int, snapshot_date date")
+    tables.write_partitions(df, str(tmp_path / "t"), dates=["2023-01-01"])
+    real = tables.read_partitions
+    monkeypatch.setattr(tables, "read_partitions", lambda *a, **b: real(*a, **b).filter("x <> 4"))
+    with pytest.raises(RuntimeError, match="9 rows were written"):
+        tables.write_partitions(df, str(tmp_path / "t"), dates=["2023-01-01"])
+
+
+def test_rows_without_a_readable_date_are_counted_and_kept(spark, tmp_path):
+    from featuremart.plans.medallion import write_bronze
+
+    source, bronze = tmp_path / "raw.csv", str(tmp_path / "bronze")
+    source.write_text("X,snapshot_date\n1,2023-01-01\n2,soon\n3,\n4,2023-05-01\n")
+    assert write_bronze(spark, "lms", str(source), bronze, ["2023-01-01"]) == 2
+    assert sorted(r.x for r in spark.read.parquet(f"{bronze}_rejects/lms").collect()) == ["2", "3"]
+    assert [r.x for r in spark.read.parquet(f"{bronze}/lms").collect()] == ["1"]
+    source.write_text("X,snapshot_date\n1,2023-01-01\n")
+    assert write_bronze(spark, "lms", str(source), bronze, ["2023-01-01"]) == 0
+    assert not (tmp_path / "bronze_rejects" / "lms").exists()

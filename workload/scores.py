@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featuremart.operators import metrics, profiling
+from featuremart.plans.training import evaluate_predictions
 
 from .features import rounded
 from .registry import Tables, query
@@ -97,6 +98,16 @@ def confusion_metrics(t: Tables):
     return rounded(metrics.with_rates(counts), RATES, 9)
 
 
+@query(
+    "out_of_time_metrics",
+    f"""
+WITH {SCORES_SQL}, c AS (SELECT {COUNTS_SQL} FROM scores), rates AS (SELECT {RATES_SQL} FROM c), {ranked_sql("")}
+SELECT f1_score AS oot_f1, f15_score AS oot_f15, (SELECT round({AUC_SQL}, 9) FROM ranked) AS oot_auc FROM rates""",
+)
+def out_of_time_metrics(t: Tables):
+    return rounded(evaluate_predictions(scores(t)), ["oot_f1", "oot_f15", "oot_auc"], 9)
+
+
 @query(
     "class_report",
     f"""
