@@ -4,7 +4,7 @@ Each text gives a vector of transformed statistics: the logarithm of the mean wo
 roots of symbols, punctuation marks and capitals for each word, each shrunk towards the corpus rate by
 ``PRIOR_WORDS`` words so that short texts don't stray by chance. For each (language, source) a
 minimum-covariance-determinant estimate of centre and scatter is made, and a text whose squared
-Mahalanobis distance exceeds ``cutoff`` is rejected.
+Mahalanobis distance exceeds ``cutoff``, a chi-square quantile, is rejected.
 
 The estimate goes in the nested way of FAST-MCD: a group is dealt into blocks of some 2,000 rows by hash,
 so a group with a third of all rows is many tasks; every block concentrates to its least determinant; the
@@ -36,8 +36,8 @@ LEAST_WORDS, MOST_REPEATED = 20, 30
 PRIOR_WORDS, BLOCK_ROWS, LEAST_ROWS = 100, 2000, 100
 #: Share of rows whose scatter is made least, and the added variance of each statistic.
 HALF, FLOOR = 0.75, 0.02**2
-#: Eight robust standard deviations.
-CUTOFF = 64.0
+#: Share of normal rows within the cutoff.
+WITHIN = 0.999
 RATES = ("n_symbols", "n_punct", "n_upper")
 P = 1 + len(RATES)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
@@ -69,16 +69,22 @@ def _gamma_share(a: float, x: float) -> float:
     return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
 
 
-def consistency(p: int, share: float) -> float:
-    """What the scatter of the innermost ``share`` of normal rows is to be multiplied by."""
+def chi_square(p: int, share: float) -> float:
+    """The squared distance within which ``share`` of normal rows of ``p`` statistics lie."""
     lo, hi = 1e-9, 100.0 + 10 * p
     for _ in range(200):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if _gamma_share(p / 2, mid / 2) < share else (lo, mid)
-    return share / _gamma_share(p / 2 + 1, lo / 2)
+    return lo
+
+
+def consistency(p: int, share: float) -> float:
+    """What the scatter of the innermost ``share`` of normal rows is to be multiplied by."""
+    return share / _gamma_share(p / 2 + 1, chi_square(p, share) / 2)
 
 
 SCALE = consistency(P, HALF)
+CUTOFF = chi_square(P, WITHIN)
 
 
 def _distances(x: np.ndarray, centre: np.ndarray, scatter: np.ndarray) -> np.ndarray:

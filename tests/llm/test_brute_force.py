@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -297,6 +298,26 @@ def test_quality_keeps_the_good_and_drops_the_bad(spark, data_dir):
     assert found.get((0, True), 0) <= 0.3 * (found.get((0, False), 0) + found.get((0, True), 0))
 
 
+def test_cutoff_is_a_chi_square_quantile():
+    for p, want in ((1, 10.828), (4, 18.467), (7, 24.322)):
+        assert abs(quality.chi_square(p, 0.999) - want) < 0.001
+    assert quality.CUTOFF == quality.chi_square(quality.P, 0.999)
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, data_dir):
+    """Verdicts on the labelled rows of sf0.1, whose groups are large enough for estimates of their own."""
+    folder = str(Path(data_dir).parent / "sf0.1")
+    judged = quality.judged(spark.read.parquet(f"{folder}/documents.parquet"))
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return judged.join(labels, judged["id"] == labels["doc_id"]).where("not base_failed").toPandas()
+
+
+def test_quality_drops_junk_near_the_good(labelled):
+    good, bad = labelled[labelled.quality == 1], labelled[labelled.quality == 0]
+    assert bad.kept.mean() <= 0.03 and (~good.kept).mean() <= 0.002
+
+
 def test_languages(spark, data_dir, hard, none):
     got = QUERIES["op5_language_id"](spark, data_dir).join(spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.where("held_out and lang is not null").toPandas()
