@@ -1,8 +1,9 @@
 """Quality rules: two plain limits, then robust multivariate outliers by language and source.
 
 Each text gives a vector of transformed statistics: the logarithm of the mean word length and the square
-roots of symbols, punctuation marks and capitals for each word, each shrunk towards the corpus rate by
-``PRIOR_WORDS`` words so that short texts don't stray by chance. For each (language, source) a
+roots of symbols, punctuation marks, capitals, digits and words equal to the word before for each word, and
+of lines equal to an earlier one for each line. All are shrunk towards the corpus rate by ``PRIOR_WORDS``
+words or ``PRIOR_LINES`` lines so that short texts don't stray by chance. For each (language, source) a
 minimum-covariance-determinant estimate of centre and scatter is made, and a text whose squared
 Mahalanobis distance exceeds ``cutoff``, a chi-square quantile, is rejected.
 
@@ -33,13 +34,19 @@ from . import quality_stats as qs
 from . import text as tx
 
 LEAST_WORDS, MOST_REPEATED = 20, 30
-PRIOR_WORDS, BLOCK_ROWS, LEAST_ROWS = 100, 2000, 100
-#: Share of rows whose scatter is made least, and the added variance of each statistic.
+PRIOR_WORDS, PRIOR_LINES, BLOCK_ROWS, LEAST_ROWS = 100, 10, 2000, 100
+#: Share of rows whose scatter is made least, and the added variance of a statistic.
 HALF, FLOOR = 0.75, 0.02**2
 #: Share of normal rows within the cutoff.
 WITHIN = 0.999
-RATES = ("n_symbols", "n_punct", "n_upper")
+#: The statistics behind the mean word length: what is counted, for each of what, shrunk by how many of these.
+RATES = [(c, "n_words", PRIOR_WORDS) for c in ("n_symbols", "n_punct", "n_upper", "n_digits", "n_echoes")]
+RATES += [("n_dup_lines", "n_lines", PRIOR_LINES)]
 P = 1 + len(RATES)
+#: Digits and equal lines come in clumps, a telephone number or a heading, and most texts have none: the rows
+#: whose scatter is made least don't show it, so a clump's worth is added.
+CLUMPS = {"n_digits": 0.2**2, "n_dup_lines": 0.08**2}
+FLOORS = np.array([FLOOR, *(CLUMPS.get(c, FLOOR) for c, _, _ in RATES)])
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 X = [f"x{i}" for i in range(P)]
 CENTRE = [f"c{i}" for i in range(P)]
@@ -83,7 +90,6 @@ def consistency(p: int, share: float) -> float:
     return share / _gamma_share(p / 2 + 1, chi_square(p, share) / 2)
 
 
-SCALE = consistency(P, HALF)
 CUTOFF = chi_square(P, WITHIN)
 
 
@@ -92,17 +98,18 @@ def _distances(x: np.ndarray, centre: np.ndarray, scatter: np.ndarray) -> np.nda
     return np.einsum("ij,ij->i", off @ np.linalg.inv(scatter), off)
 
 
-def minimum_determinant(x: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
+def minimum_determinant(x: np.ndarray, floors: np.ndarray | float = FLOOR, steps: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Centre and scatter of the ``HALF`` of the rows with the least determinant that concentration from
-    three robust starts finds: marginal spreads, the rows nearest the median, and rank-free signs."""
+    three robust starts finds: marginal spreads, the rows nearest the median, and rank-free signs.
+    ``floors``: the added variance of each statistic."""
     middle = np.median(x, axis=0)
     spread = 1.4826 * np.median(np.abs(x - middle), axis=0)
-    floor = np.eye(x.shape[1]) * FLOOR
+    floor, small, wider = np.eye(x.shape[1]) * floors, np.sqrt(floors), consistency(x.shape[1], HALF)
     size = max(1, math.ceil(HALF * len(x)))
-    off = (x - middle) / (spread + FLOOR**0.5)
+    off = (x - middle) / (spread + small)
     near = np.argsort((off**2).sum(axis=1), kind="stable")[: max(1, len(x) // 2)]
     signs = off / np.maximum(np.linalg.norm(off, axis=1), 1e-9)[:, None]
-    scale = np.diag(spread + FLOOR**0.5)
+    scale = np.diag(spread + small)
     starts = [np.diag(spread**2) + floor, np.cov(x[near].T, bias=True) + floor, scale @ (signs.T @ signs / len(x)) @ scale + floor]
     best = None
     for scatter in starts:
@@ -110,7 +117,7 @@ def minimum_determinant(x: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.
         for _ in range(steps):
             inner = np.argsort(_distances(x, centre, scatter), kind="stable")[:size]
             centre = x[inner].mean(axis=0)
-            scatter = np.cov(x[inner].T, bias=True) * SCALE + floor
+            scatter = np.cov(x[inner].T, bias=True) * wider + floor
             det = np.linalg.det(scatter)
             if det >= before * (1 - 1e-9):
                 break
@@ -122,7 +129,7 @@ def minimum_determinant(x: np.ndarray, steps: int = 30) -> tuple[np.ndarray, np.
 
 def _block(table: pa.Table) -> pa.Table:
     x = np.stack([table.column(c).to_numpy() for c in X], axis=1)
-    centre, scatter = minimum_determinant(x)
+    centre, scatter = minimum_determinant(x, FLOORS)
     out = {c: table.column(c)[:1] for c in GROUP} | {"n": pa.array([len(x)], pa.int64())}
     out |= {c: pa.array([v], pa.float64()) for c, v in zip(CENTRE, centre, strict=True)}
     return pa.table(out | {c: pa.array([scatter[i, j]], pa.float64()) for c, (i, j) in zip(SCATTER, PAIRS, strict=True)})
@@ -166,9 +173,10 @@ def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     limit = limit.groupBy(*GROUP).agg((F.sum(F.col("b") * F.col("m")) / F.sum("m")).alias("limit"))
     blocks = rows.select(*GROUP, "block").distinct().join(limit, GROUP)
     inner = near.join(blocks, [*GROUP, "block"]).where("d2 <= limit")
+    wider = consistency(P, HALF)
     means = [F.avg(x).alias(c) for x, c in zip(X, CENTRE, strict=True)]
     scatters = [
-        ((F.covar_pop(X[i], X[j]) * SCALE) + (FLOOR if i == j else 0)).alias(c) for c, (i, j) in zip(SCATTER, PAIRS, strict=True)
+        ((F.covar_pop(X[i], X[j]) * wider) + (float(FLOORS[i]) if i == j else 0)).alias(c) for c, (i, j) in zip(SCATTER, PAIRS, strict=True)
     ]
     return inner.groupBy(*GROUP).agg(F.count("*").alias("n"), *means, *scatters)
 
@@ -186,10 +194,10 @@ def estimates(rows: DataFrame, steps: int = 2) -> DataFrame:
 def statistics(counts: DataFrame) -> DataFrame:
     """The counts with the statistic vector, and the group's size and block of each row."""
     usable = ~base_failed()
-    totals = counts.where(usable).agg(*(F.sum(c).alias(c) for c in ("n_words", "word_chars", *RATES))).first()
-    words = totals["n_words"] or 1
-    shrunk = lambda c: (F.col(c) + PRIOR_WORDS * ((totals[c] or 0) / words)) / (F.col("n_words") + PRIOR_WORDS)
-    x = [F.log(F.greatest(shrunk("word_chars"), F.lit(1e-6))), *(F.sqrt(shrunk(c)) for c in RATES)]
+    totals = counts.where(usable).agg(*(F.sum(c).alias(c) for c in qs.COUNTS)).first()
+    shrunk = lambda c, of, prior: (F.col(c) + prior * ((totals[c] or 0) / (totals[of] or 1))) / (F.col(of) + prior)
+    length = F.log(F.greatest(shrunk("word_chars", "n_words", PRIOR_WORDS), F.lit(1e-6)))
+    x = [length, *(F.sqrt(shrunk(*rate)) for rate in RATES)]
     rows = counts.withColumns({"usable": usable, **{n: v.cast("double") for n, v in zip(X, x, strict=True)}})
     sizes = rows.groupBy("lang", "source").agg(F.sum(F.col("usable").cast("long")).alias("n"), F.count("*").alias("rows"))
     return _by_salt(rows, _groups(sizes))

@@ -20,7 +20,7 @@ UPPER[65:91] = True
 DIGIT = np.zeros(256, dtype=bool)
 DIGIT[48:58] = True
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_digits", "n_lines")
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_punct", "n_digits", "n_lines", "n_echoes")
 
 
 def repeated_words(words: np.ndarray, first: np.ndarray, length: int = REPEAT) -> np.ndarray:
@@ -41,6 +41,13 @@ def repeated_words(words: np.ndarray, first: np.ndarray, length: int = REPEAT) -
     return np.diff(np.r_[0, np.cumsum(mask)][first])
 
 
+def echoes(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each document its words that equal the word before."""
+    same = np.r_[False, words[1:] == words[:-1]][: len(words)]
+    same[first[:-1][first[:-1] < first[1:]]] = False
+    return np.diff(np.r_[0, np.cumsum(same)][first])
+
+
 def duplicate_lines(data: np.ndarray, offsets: np.ndarray, hasher: tx.SpanHash, sums: np.ndarray, word_starts: np.ndarray):
     """For each document its lines with a word, and those of them that equal an earlier line."""
     starts, ends, edge = lines_of(data, offsets)
@@ -56,17 +63,19 @@ def counts_of(data: np.ndarray, offsets: np.ndarray, hasher: tx.SpanHash) -> dic
     starts, ends, first = tx.words_of(data, offsets)
     sums = hasher.sums(data)
     per_doc = lambda mask: np.diff(np.r_[0, np.cumsum(mask)][offsets])
+    words = hasher.spans(sums, starts, ends)
     n_lines, n_dup = duplicate_lines(data, offsets, hasher, sums, starts)
     return {
         "n_words": np.diff(first),
         "word_chars": per_doc(((data & 0xC0) != 0x80) & ~tx.SPACE[data]),
         "n_symbols": per_doc(SYMBOLS[data]),
         "n_dup_lines": n_dup,
-        "n_repeat_words": repeated_words(hasher.spans(sums, starts, ends), first),
+        "n_repeat_words": repeated_words(words, first),
         "n_upper": per_doc(UPPER[data]),
         "n_punct": per_doc(PUNCT[data]),
         "n_digits": per_doc(DIGIT[data]),
         "n_lines": n_lines,
+        "n_echoes": echoes(words, first),
     }
 
 

@@ -318,6 +318,31 @@ def test_quality_drops_junk_near_the_good(labelled):
     assert bad.kept.mean() <= 0.03 and (~good.kept).mean() <= 0.002
 
 
+def test_quality_drops_repetition_and_digits(spark):
+    rng = np.random.default_rng(4)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), rng.integers(3, 9))) for _ in range(400)]
+    plain = lambda n: [str(w) for w in rng.choice(vocabulary, n)]
+    lines_of = lambda words: "\n".join(" ".join(words[a : a + 6]) for a in range(0, len(words), 6))
+    good = [lines_of(plain(rng.integers(60, 200))) for _ in range(400)]
+    good[:40] = [f"{t}\n5557209 40260839" for t in good[:40]]  # a number or a repeated line is no fault
+    good[40:60] = [f"{t}\n{t.split(chr(10))[0]}" for t in good[40:60]]
+    runs = [" ".join(w for w in plain(10) for _ in range(6)) for _ in range(5)]
+    digits = [" ".join(str(rng.integers(10**3, 10**5)) for _ in range(100)) for _ in range(5)]
+    equal = ["\n".join(x for k in range(0, 120, 6) for x in (" ".join(words[k : k + 6]), "more")) for words in (plain(120) for _ in range(5))]
+    rows = [(i, t, "en", "s") for i, t in enumerate([*good, *runs, *digits, *equal])]
+    got = {r["id"]: r for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    for i, text, *_ in rows:
+        w = WORD.findall(text)
+        assert got[i]["n_echoes"] == sum(a == b for a, b in zip(w, w[1:], strict=False))
+    assert not any(got[i]["base_failed"] for i in got)
+    assert sum(not got[i]["kept"] for i in range(len(good))) <= 4
+    assert [i for i in range(len(good), len(rows)) if got[i]["kept"]] == []
+
+
+def test_quality_keeps_no_labelled_runs(labelled):
+    assert not labelled[labelled.id.isin([1847, 7628, 6930, 6449, 7127])].kept.any()
+
+
 def test_languages(spark, data_dir, hard, none):
     got = QUERIES["op5_language_id"](spark, data_dir).join(spark.read.parquet(f"{data_dir}/documents.parquet").select("doc_id", "lang"), "doc_id")
     held = got.where("held_out and lang is not null").toPandas()
