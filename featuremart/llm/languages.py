@@ -25,7 +25,7 @@ GRAMS = 1 << 16
 SMOOTHING = 0.5
 #: Overlapping trigrams tell the same letters three times.
 WEIGHT = 1 / 3
-ROUNDS, SET_ROUNDS, MOST_MIXED = 8, 4, 4
+ROUNDS, SET_ROUNDS = 8, 4
 _LETTER = np.arange(256, dtype=np.uint8)
 _LETTER[:128] = 0x20
 _LETTER[97:123] = np.arange(97, 123)
@@ -106,15 +106,22 @@ def proportions(scores: np.ndarray, first: np.ndarray) -> np.ndarray:
     order = np.argsort(-share, axis=1, kind="stable")
     penalty = np.log(np.maximum(np.diff(first), 2)) / 2 + 2
     best = np.full(docs, -np.inf)
-    chosen = share
+    chosen = share.copy()
     allowed = np.zeros_like(every)
-    for k in range(min(langs, MOST_MIXED)):
+    doc = np.repeat(np.arange(docs), np.diff(first))
+    for k in range(langs):
         np.put_along_axis(allowed, order[:, k : k + 1], True, axis=1)
-        part, fit = mixture(likely, first, allowed, share, SET_ROUNDS if k else 1)
-        value = fit - k * penalty
-        better = value > best
-        best = np.where(better, value, best)
-        chosen = np.where(better[:, None], part, chosen)
+        # a word's likelihood is 1 at most, so a text above the penalty alone gains from no larger set
+        rising = best < -k * penalty
+        if not rising.any():
+            break
+        words = likely if rising.all() else likely[rising[doc]]
+        part, fit = mixture(words, np.r_[0, np.cumsum(np.diff(first)[rising])], allowed[rising], share[rising], SET_ROUNDS if k else 1)
+        value = fit - (k * penalty)[rising]
+        better = value > best[rising]
+        which = np.flatnonzero(rising)[better]
+        best[which] = value[better]
+        chosen[which] = part[better]
     return chosen
 
 

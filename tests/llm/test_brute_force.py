@@ -363,6 +363,18 @@ def test_mixture_of_two_languages(spark):
     assert (a["lang_pred"], b["lang_pred"], b["score"]) == ("en", "en", 1.0) and 0.55 < a["score"] < 0.85
 
 
+def test_mixture_of_many_languages(spark):
+    rng = np.random.default_rng(6)
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx"]
+    plain = lambda own, n: " ".join("".join(rng.choice(list(own), 6)) for _ in range(n))
+    names, model = languages.learn(spark.createDataFrame([(plain(own, 2000), f"l{i}") for i, own in enumerate(letters)], "text string, lang string"))
+    parts = [150, 75, 75, 75, 75, 50]  # 30 % are in the first
+    texts = [" ".join(plain(own, n) for own, n in zip(letters, parts, strict=True)), plain(letters[3], 500)]
+    a, b = languages.predict(spark.createDataFrame([(t,) for t in texts], "text string"), names, model).collect()
+    assert a["lang_pred"] == "l0" and abs(a["score"] - 0.3) < 0.01
+    assert (b["lang_pred"], b["score"]) == ("l3", 1.0)
+
+
 def test_stages_keep_the_columns(spark, data_dir, hard, none):
     for frame in (hard, none):
         for _, stage in corpus_pipeline.STAGES[:-1]:
