@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -392,3 +393,153 @@ def test_pipeline(spark, data_dir):
     clean = {r[0] for r in QUERIES["op1_benchmark_decontamination"](spark, data_dir).where("not contaminated").select("doc_id").collect()}
     assert len(out) and {r["doc_id"] for r in out} <= clean
     assert {r["doc_id"] for r in out} <= {r[0] for r in docs.select("doc_id").collect()}
+
+
+NULL = -(2**63)
+
+
+def plain_verdicts(rows):
+    """(kept, d2) for each (id, text, lang, source): counts, estimates and distances without Spark."""
+    counts = []
+    for _, text, _, _ in rows:
+        w, solid = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+        seen = Counter(tuple(w[a : a + 8]) for a in range(len(w) - 7))
+        twice = {p for a in range(len(w) - 7) if seen[tuple(w[a : a + 8])] > 1 for p in range(a, a + 8)}
+        found = [sum(c in "#*$%&|<>" for c in text), sum("!" <= c <= "~" and not c.isalnum() for c in text), sum("A" <= c <= "Z" for c in text)]
+        found += [sum("0" <= c <= "9" for c in text), sum(a == b for a, b in zip(w, w[1:], strict=False)), len(solid) - len(set(solid))]
+        counts.append([len(w), sum(map(len, w)), *found, len(solid), len(twice)])
+    n, chars, *rates, n_lines, twice = np.array(counts, dtype=float).reshape(-1, 10).T
+    usable = (n >= 20) & (100 * twice <= 30 * n)
+    shrunk = lambda c, of, prior: (c + prior * (c[usable].sum() / (of[usable].sum() or 1))) / (of + prior)
+    x = [np.log(np.maximum(shrunk(chars, n, 100), 1e-6)), *(np.sqrt(shrunk(c, n, 100)) for c in rates[:-1]), np.sqrt(shrunk(rates[-1], n_lines, 10))]
+    x, floor = np.stack(x, axis=1), np.array([0.02, 0.02, 0.02, 0.02, 0.2, 0.02, 0.08]) ** 2
+    sizes, rest = Counter(), Counter()
+    for (_, _, lang, source), u in zip(rows, usable, strict=True):
+        sizes[lang, source] += int(u)
+    for (lang, _), k in sizes.items():
+        rest[lang] += k if k < 100 else 0
+
+    def group(lang, source):
+        if sizes[lang, source] >= 100:
+            return lang, source
+        return (lang, "rest") if rest[lang] >= 100 else ("rest", "rest")
+
+    groups = [group(lang, source) for _, _, lang, source in rows]
+    known = {}
+    for g in set(groups):
+        own = x[[a == g and u for a, u in zip(groups, usable, strict=True)]]
+        assert len(own) <= 2000
+        if len(own) >= 100:
+            centre, scatter = quality.minimum_determinant(own, floor)
+            for _ in range(2):
+                d2 = [(v - centre) @ np.linalg.inv(scatter) @ (v - centre) for v in own]
+                inner = own[np.array(d2) <= np.percentile(d2, 75)]
+                centre, scatter = inner.mean(axis=0), np.cov(inner.T, bias=True) * quality.consistency(7, 0.75) + np.diag(floor)
+            known[g] = len(inner), centre, scatter
+    if not known:
+        return [(bool(u), None) for u in usable]
+    weights = [k[0] for k in known.values()]
+    overall = [np.average([k[i] for k in known.values()], axis=0, weights=weights) for i in (1, 2)]
+    out = []
+    for v, g, u in zip(x, groups, usable, strict=True):
+        centre, scatter = known[g][1:] if g in known else overall
+        d2 = (v - centre) @ np.linalg.inv(scatter) @ (v - centre)
+        out.append((bool(u and d2 <= 24.3219), d2))
+    return out
+
+
+def digest(text):
+    return int(np.uint64(xxhash.xxh64_intdigest(text.encode(), 42)).astype(np.int64))
+
+
+def whole_rows(df):
+    names = ("doc_id", "text", "lang", "source")
+    return [(NULL if i is None else i, t or "", lang or "\0", source or "\0") for i, t, lang, source in (tuple(r[c] for c in names) for r in df.collect())]
+
+
+@pytest.mark.parametrize("name", ["docs", "hard", "none", "sf0.01"])
+def test_quality_verdicts(spark, request, data_dir, name):
+    folder = Path(data_dir).parent / name
+    table = spark.read.parquet(f"{folder}/documents.parquet") if name == "sf0.01" else request.getfixturevalue(name)
+    rows = whole_rows(table)
+    want = sorted((i, digest(t), k, -1 if d is None else d) for (i, t, _, _), (k, d) in zip(rows, plain_verdicts(rows), strict=True))
+    got = sorted((r["id"], r["dig"], r["kept"], -1 if r["d2"] is None else r["d2"]) for r in quality.judged(table).collect())
+    assert [r[:3] for r in got] == [r[:3] for r in want]
+    assert np.allclose([r[3] for r in got], [r[3] for r in want], rtol=1e-6, atol=1e-9)
+
+
+def plain_pipeline(rows, items):
+    """What the stages leave, and how many rows or lines each took."""
+    kept = [(i, t) for (i, t, _, _), (k, _) in zip(rows, plain_verdicts(rows), strict=True) if k]
+    took = [len(rows) - len(kept)]
+
+    key = lambda line: lower(line.strip("\x20\x09\x0a\x0b\x0c\x0d"))
+    docs_of = defaultdict(set)
+    for doc in kept:
+        for line in doc[1].split("\n"):
+            if len(key(line)) >= 40:
+                docs_of[key(line)].add(doc)
+    keeper = {k: max(d[0] for d in v) for k, v in docs_of.items() if len(v) >= 5}
+    lined = [(i, "\n".join(x for x in t.split("\n") if keeper.get(key(x), i) == i)) for i, t in kept]
+    took.append(sum(a != b for a, b in zip(kept, lined, strict=True)))
+
+    prints = {t: print_of(t) for _, t in lined}
+    group = {p: p for p in prints.values()}
+    for a in list(group):
+        for b in list(group):
+            if (a ^ b).bit_count() <= 3 and group[a] != group[b]:
+                old, new = group[a], group[b]
+                group = {p: new if g == old else g for p, g in group.items()}
+    first = {}
+    for i, t in lined:
+        g = group[prints[t]]
+        first[g] = min(first.get(g, (i, digest(t), t)), (i, digest(t), t))
+    alone = [(i, t) for i, _, t in first.values()]
+    took.append(len(lined) - len(alone))
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    windows = set()
+    for t in items:
+        w = word.findall(lower(t or ""))
+        n = min(10, len(w))
+        windows |= {tuple(w[a : a + n]) for a in range(len(w) - n + 1 if w else 0)}
+
+    def hit(t):
+        w = word.findall(lower(t))
+        return any(tuple(w[a : a + n]) in windows for n in {len(x) for x in windows} for a in range(len(w) - n + 1))
+
+    clean = [(i, t) for i, t in alone if not hit(t)]
+    took.append(len(alone) - len(clean))
+
+    whole, out = Tokenizer.from_file(BPE), Counter()
+    for i, t in clean:
+        own = [*whole.encode(t, add_special_tokens=False).ids, 2]
+        head = (len(own) - 1) % 1024 + 1
+        for piece, start in enumerate([0, *range(head, len(own), 1024)]):
+            part = own[start : head if not piece else start + 1024]
+            out[None if i == NULL else i, piece, start, len(part), zlib.crc32(np.array(part, "<u4").tobytes())] += 1
+    return out, took
+
+
+def test_pipeline_rows(spark, data_dir, docs, tmp_path):
+    """Whole rows against the plain stages, on the documents and rows planted for each stage."""
+    items = [r[0] for r in spark.read.parquet(f"{data_dir}/benchmark.parquet").select("text").collect()]
+    real = [r["text"] for r in docs.where("lang = 'en'").orderBy("doc_id").limit(40).collect()]
+    planted = [(10**6 + k, f"{t}\n{LINE}\nthe end of {k}") for k, t in enumerate(real[:8])]
+    planted += [(10**6 + 100 + k, f"{t} {t.split()[0]}") for k, t in enumerate(real[8:16])]  # near copies
+    planted += [(10**6 + 200 + k, f"{t} {items[k]} {real[k]}") for k, t in enumerate(real[16:24])]
+    planted += [(10**6 + 300, "short"), (10**6 + 301, None), (None, real[30] + " " + " ".join(reversed(real[31].split())))]
+    extra = spark.createDataFrame([(i, t, "en", "src0") for i, t in planted], "doc_id long, text string, lang string, source string")
+    table = docs.unionByName(extra.withColumn("n_chars", F.length("text").cast("long")))
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{data_dir}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
+    want, took = plain_pipeline(whole_rows(table), items)
+    assert all(took)  # no stage is idle here
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in out) == want
+    places = defaultdict(list)
+    for r in out:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in places.values():
+        parts.sort()
+        assert [a for a, _ in parts] == [0, *np.cumsum([n for _, n in parts])[:-1].tolist()] and sum(n for _, n in parts) <= 1024
