@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import loans, parsing
-from ..operators.encoding import fit_categories, one_hot
+from ..operators.encoding import WIDEST, fit_categories, one_hot
 from ..operators.imputation import fit_means, impute_means
 from ..operators.pairing import semi_join
 from ..operators.pointintime import point_in_time_means
-from ..operators.schema import numeric_columns
+from ..operators.schema import numeric_columns, quoted
 from ..sources.scratch import cut, scratch_scope
-from ..sources.tables import SNAPSHOT, read_partitions, write_partitions
+from ..sources.tables import SNAPSHOT, drop_partitions, has_partitions, read_partitions, write_partitions
 
 # Columns that are encoded, averaged or dropped, and the label definition.
 CATEGORICAL = (
@@ -90,6 +90,40 @@ def build_features(
     leaves the averages of customers without clicks null. ``keep`` writes the joined rows to scratch
     once, because fitting and encoding read them again.
     """
+    return feature_forms(
+        attributes, financials, loan_type, clickstream, lms, labels, fit_customers,
+        impute_clicks, click_columns, categorical, anchor, keep,
+    )[0]
+
+
+def long_categories(df: DataFrame, vocabularies: Mapping[str, Sequence[str | None]]) -> DataFrame | None:
+    """(customer, snapshot, column, category) of the columns whose values share an ``__other`` column in the
+    wide form; None when every value has a column of its own. Nulls are no category."""
+    shared = [c for c, values in vocabularies.items() if None in values]
+    if not shared:
+        return None
+    pairs = [F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("category")) for c in shared]
+    long = df.select("customer_id", SNAPSHOT, F.explode(F.array(*pairs)).alias("p"))
+    return long.select("customer_id", SNAPSHOT, "p.column", "p.category").filter(F.col("category").isNotNull())
+
+
+def feature_forms(
+    attributes: DataFrame,
+    financials: DataFrame,
+    loan_type: DataFrame,
+    clickstream: DataFrame,
+    lms: DataFrame,
+    labels: DataFrame,
+    fit_customers: DataFrame | None = None,
+    impute_clicks: bool = True,
+    click_columns: Sequence[str] = CLICK_COLUMNS,
+    categorical: Sequence[str] = CATEGORICAL,
+    anchor: str = "all",
+    keep: bool = True,
+    widest: int = WIDEST,
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of :func:`build_features`, and the :func:`long_categories` of columns with more than
+    ``widest`` values."""
     joined = join_profiles(attributes, financials, loan_type, labels)
     clicks = click_averages(clickstream, lms, click_columns, anchor)
     joined = joined.join(clicks, on="customer_id", how="left")
@@ -101,7 +135,8 @@ def build_features(
         c for c in numeric_columns(joined, ("customer_id",)) if impute_clicks or c not in click_names
     ]
     filled = impute_means(joined, fit_means(fit_rows, imputed))
-    return one_hot(filled, fit_categories(fit_rows, categorical))
+    vocabularies = fit_categories(fit_rows, categorical, widest)
+    return one_hot(filled, vocabularies), long_categories(joined, vocabularies)
 
 
 def on_spine(df: DataFrame, dates: Iterable[str]) -> DataFrame:
@@ -114,11 +149,13 @@ def write_gold(
     gold_root: str,
     dates: Sequence[str],
     fit_label_until: str | None = None,
+    widest: int = WIDEST,
 ) -> tuple[DataFrame, DataFrame]:
     """Build both stores from silver and write the partitions of the given dates.
 
     Means and categories are learned from customers whose label is dated up to ``fit_label_until``;
-    without it from all. Returns the stores read back from disk, so nothing is computed again.
+    without it from all. Columns with more than ``widest`` values also go to ``feature_categories`` in
+    long form, which names every value. Returns the stores read back from disk, so nothing is computed again.
     """
     silver = {
         t: read_partitions(spark, f"{silver_root}/{t}")
@@ -129,7 +166,7 @@ def write_gold(
     if fit_label_until is not None:
         fit_customers = labels.filter(F.col(SNAPSHOT) <= F.lit(fit_label_until).cast("date"))
     with scratch_scope(spark):
-        features = build_features(
+        features, long = feature_forms(
             silver["attributes"],
             silver["financials"],
             silver["loan_type"],
@@ -137,8 +174,13 @@ def write_gold(
             silver["lms"],
             labels,
             fit_customers=fit_customers,
+            widest=widest,
         )
         write_partitions(on_spine(features, dates), f"{gold_root}/feature_store", dates=dates)
+        if long is not None:
+            write_partitions(on_spine(long, dates), f"{gold_root}/feature_categories", dates=dates)
+        elif has_partitions(spark, f"{gold_root}/feature_categories"):
+            drop_partitions(spark, f"{gold_root}/feature_categories", dates, SNAPSHOT)
     write_partitions(on_spine(labels, dates), f"{gold_root}/label_store", dates=dates)
     return (
         read_partitions(spark, f"{gold_root}/feature_store", dates=dates),

@@ -153,3 +153,19 @@ def test_the_run_goes_on_after_failures(spark, run, tmp_path):
         assert part in text
     assert summary["data_processing"]["gold_layer"]["status"] == "failed"
     assert spark.read.parquet(f"{root}/logs/bronze_broken").count() and spark.read.parquet(f"{root}/logs/silver_broken").count()
+
+
+def test_wide_categories_are_stored_in_long_form(spark, run, tmp_path):
+    _, root, _ = run
+    place = str(tmp_path / "gold")
+    features, _ = gold.write_gold(spark, f"{root}/silver", place, MONTHS, widest=3)
+    long = read_partitions(spark, f"{place}/feature_categories")
+    assert {r[0] for r in long.select("column").distinct().collect()} == {"occupation"}
+    values = read_partitions(spark, f"{root}/silver/attributes").select("customer_id", "snapshot_date", "occupation")
+    keys = ["customer_id", "snapshot_date"]
+    want = features.select(*keys, "occupation__other").join(values, keys).filter("occupation is not null")
+    got = features.select(*keys, "occupation__other").join(long.select(*keys, "category"), keys)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.filter("occupation__other = 1").select("category").distinct().count() == 12
+    gold.write_gold(spark, f"{root}/silver", place, MONTHS)
+    assert not (tmp_path / "gold" / "feature_categories").exists() or not list((tmp_path / "gold" / "feature_categories").glob("snapshot_date=*"))
