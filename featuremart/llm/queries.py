@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, languages, lines, long_matches, packing, quality, simhash, substrings, token_counts, urls
+from . import decontamination, languages, lines, long_matches, merkle, packing, quality, secret_scan, simhash, spelling
+from . import substrings, token_counts, urls
 from . import text as tx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +199,92 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = long_matches.remove_long_matches(table(spark, sf_dir, "documents"), 400, digest=True)
     return out.withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op12_secret_scan")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+    kind = lambda *names: F.filter("spans", lambda s: s["kind"].isin(*names))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(kind(k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS]
+    return found.select(
+        tx.real_id().alias("doc_id"), *counts, F.sha2(listed(kind(*secret_scan.BASE)), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+@query(
+    "op13_merkle_manifest",
+    r"""
+    WITH RECURSIVE said AS (
+        SELECT doc_id, lang, text, doc_id::VARCHAR AS i, n_chars::VARCHAR AS c, source,
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents
+    ), fields AS (
+        SELECT doc_id, lang, coalesce(strlen(i) || ':' || i, '-') || coalesce(strlen(source) || ':' || source, '-')
+               || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(c) || ':' || c, '-') AS head,
+               coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(low) || ':' || low, '-') AS low_body,
+               list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(i, ''), lambda d: ascii(d)::BIGINT)),
+                   lambda crc, d: list_reduce(list_prepend(xor(crc, d), list_transform(range(8), lambda z: 0::BIGINT)),
+                       lambda b, z: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END)) AS crc
+        FROM said
+    ), leaves AS (
+        SELECT doc_id, lang, sha256(head || body) AS leaf,
+               sha256(head || CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN low_body ELSE body END) AS claimed,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos
+        FROM fields
+    ), nodes AS (
+        SELECT lang, pos, leaf AS h, 0 AS lvl, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+        UNION ALL
+        SELECT lang, pos // 8, sha256(string_agg(h, '' ORDER BY pos)), lvl + 1, (n + 7) // 8
+        FROM nodes WHERE n > 1 GROUP BY lang, pos // 8, lvl, n
+    ), tops AS (
+        SELECT lang, h AS subroot, lvl AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM nodes WHERE n = 1
+    ), upper AS (
+        SELECT pos, subroot AS h, 0 AS lvl, count(*) OVER () AS n FROM tops
+        UNION ALL
+        SELECT pos // 8, sha256(string_agg(h, '' ORDER BY pos)), lvl + 1, (n + 7) // 8
+        FROM upper WHERE n > 1 GROUP BY pos // 8, lvl, n
+    ), steps AS (
+        SELECT doc_id, l.lvl,
+               coalesce(string_agg(h, '' ORDER BY l.pos) FILTER (l.pos < d.pos // (8 ** l.lvl)::BIGINT), '') AS a,
+               coalesce(string_agg(h, '' ORDER BY l.pos) FILTER (l.pos > d.pos // (8 ** l.lvl)::BIGINT), '') AS b
+        FROM leaves d JOIN nodes l ON d.lang IS NOT DISTINCT FROM l.lang AND l.n > 1
+             AND l.pos // 8 = d.pos // (8 ** (l.lvl + 1))::BIGINT
+        GROUP BY doc_id, l.lvl
+        UNION ALL
+        SELECT doc_id, height + u.lvl,
+               coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos < t.pos // (8 ** u.lvl)::BIGINT), ''),
+               coalesce(string_agg(u.h, '' ORDER BY u.pos) FILTER (u.pos > t.pos // (8 ** u.lvl)::BIGINT), '')
+        FROM leaves d JOIN tops t ON d.lang IS NOT DISTINCT FROM t.lang
+             JOIN upper u ON u.n > 1 AND u.pos // 8 = t.pos // (8 ** (u.lvl + 1))::BIGINT
+        GROUP BY doc_id, height, u.lvl
+    ), proofs AS (
+        SELECT doc_id, sha256(string_agg(a || b, '' ORDER BY lvl)) AS proof_sha256 FROM steps GROUP BY doc_id
+    ), fold AS (
+        SELECT doc_id, 0 AS lvl, claimed AS h FROM leaves
+        UNION ALL
+        SELECT doc_id, lvl + 1, sha256(a || h || b) FROM fold JOIN steps USING (doc_id, lvl)
+    ), ends AS (SELECT doc_id, arg_max(h, lvl) AS folded_root FROM fold GROUP BY doc_id)
+    SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+           folded_root = root AS verified
+    FROM leaves JOIN tops ON leaves.lang IS NOT DISTINCT FROM tops.lang
+         CROSS JOIN (SELECT h AS root FROM upper WHERE n = 1) LEFT JOIN proofs USING (doc_id) JOIN ends USING (doc_id)
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.leaf_of([lower if c == "text" else F.col(c) for c in columns])
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    out = merkle.manifest(docs, columns, more={"tampered": F.when(changed, tampered)})
+    root = merkle.folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    siblings = F.array_join(F.transform("proof", lambda s: F.concat(s["left"], s["right"])), "")
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), root.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
