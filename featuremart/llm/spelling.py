@@ -35,10 +35,12 @@ from featuremart.sources.scratch import cut
 
 #: Words of the vocabulary that the upper trees are fitted on, at most about so many.
 SAMPLE = 1 << 16
-#: Sampled words in a cell at most, and words of the vocabulary in a piece of a cell, about.
-CELL_SAMPLE, CELL = 64, 512
+#: Words of the vocabulary in a cell, and in a piece of one that turned out larger, about.
+CELL = 4096
 #: Distinct vectors in a leaf of the lower tree.
 LEAF = 16
+#: Pairs of words that are compared one by one; more are looked up by their shortened forms.
+FEW = 32
 
 # The letters, in code-point order. Case is lowered for A to Z only.
 LETTERS = np.array([*range(0x61, 0x7B), *range(0xC0, 0x100)], dtype=np.uint32)
@@ -76,20 +78,17 @@ def vectors(words: list[str]) -> np.ndarray:
 
 
 def split_plane(points: np.ndarray) -> tuple[int, int] | None:
-    """The letter and the count (points below it go left) that halve the points best; none if all agree."""
-    best, plane = 0, None
-    for letter in np.flatnonzero(points.max(axis=0) > points.min(axis=0)).tolist():
-        kinds, first = np.unique(np.sort(points[:, letter]), return_index=True)
-        left = first[1:]
-        even = np.minimum(left, len(points) - left)
-        k = int(even.argmax())
-        if even[k] > best:
-            best, plane = int(even[k]), (letter, int(kinds[k + 1]))
-    return plane
-
-
-def upper_tree(points: np.ndarray, most: int = CELL_SAMPLE):
-    """``(letter, count, left, right)``, or the cell's number; cells are numbered from 0."""
+    """The letter and the count (points below it go left) that halve the points best; none if all agree.
+    The best cut of a letter lies just below or just above its median."""
+    median = np.partition(points, len(points) // 2, axis=0)[len(points) // 2]
+    left = np.stack([(points < median).sum(axis=0), (points <= median).sum(axis=0)])
+    even = np.minimum(left, len(points) - left)
+    above, letter = np.unravel_index(even.argmax(), even.shape)
+    return (int(letter), int(median[letter] + above)) if even[above, letter] else None
+
+
+def upper_tree(points: np.ndarray, most: int):
+    """A tree whose cells have at most so many points: ``(letter, count, left, right)``, or the cell's number; cells are numbered from 0."""
     cells = 0
 
     def grow(own):
@@ -155,43 +154,55 @@ def pairs_in_reach(home: np.ndarray, asked: np.ndarray, reach: int) -> Iterator[
         stack += [(own[left], at), (own[~left], at)]
 
 
-def _without(words: list[str], letter: str | None) -> dict[tuple[str, int], list[str]]:
-    """The words by what is left of them without one such letter, and its place; all of them without a letter."""
+def _without(words: list[str], letter: str) -> dict[tuple[str, int], list[str]]:
+    """The words by what is left of them without one such letter, and its place."""
     out = defaultdict(list)
     for word in words:
-        if letter is None:
-            out[word, -1].append(word)
-        else:
-            at = word.find(letter)
-            while at >= 0:
-                out[word[:at] + word[at + 1 :], at].append(word)
-                at = word.find(letter, at + 1)
+        at = word.find(letter)
+        while at >= 0:
+            out[word[:at] + word[at + 1 :], at].append(word)
+            at = word.find(letter, at + 1)
     return out
 
 
+def _one_edit(longer: str, other: str) -> bool:
+    """Whether two different words of one length, or with a letter less in the second, are one edit apart."""
+    k, n = 0, len(other)
+    while k < n and longer[k] == other[k]:
+        k += 1
+    return longer[k + 1 :] == other[k + n + 1 - len(longer) :]
+
+
 def near_words(home: list[str], asked: list[str], reach: int) -> set[tuple[str, str]]:
     """Pairs (word at home, word asked for) that differ by one edit. With ``reach`` 2 all words have one
     length; with 1 the words at home have a letter more."""
-    classes = []
-    for words in (home, asked):
-        kinds, index = np.unique(vectors(words), axis=0, return_inverse=True)
-        members = [[] for _ in kinds]
-        for word, k in zip(words, index.ravel().tolist(), strict=True):
-            members[k].append(word)
-        classes.append((kinds, members))
-    (own, own_words), (other, other_words) = classes
-    found = set()
+    own_words, other_words = defaultdict(list), defaultdict(list)
+    for words, kinds in ((home, own_words), (asked, other_words)):
+        for word in words:
+            kinds["".join(sorted(word))].append(word)
+    own, other = vectors(list(own_words)), vectors(list(other_words))
+    own_words, other_words = list(own_words.values()), list(other_words.values())
+    known, found = {}, set()
+
+    def rests(side: int, words: list[str], k: int, letter: int):
+        if (side, k, letter) not in known:
+            known[side, k, letter] = _without(words, chr(LETTERS[letter]))
+        return known[side, k, letter]
+
     for x, y in pairs_in_reach(own, other, reach):
         for i, j in zip(x.tolist(), y.tolist(), strict=True):
+            here, there = own_words[i], other_words[j]
+            if len(here) * len(there) <= FEW:
+                found.update((a, b) for a in here for b in there if _one_edit(a, b))
+                continue
             change = own[i] - other[j]
-            more, less = np.flatnonzero(change > 0), np.flatnonzero(change < 0)
-            here = _without(own_words[i], chr(LETTERS[more[0]]))
-            if len(less):
-                there = _without(other_words[j], chr(LETTERS[less[0]]))
-                found.update((a, b) for k in here.keys() & there.keys() for a in here[k] for b in there[k])
+            left = rests(0, here, i, int(change.argmax()))
+            if reach == 2:
+                rest = rests(1, there, j, int(change.argmin()))
+                found.update((a, b) for k in left.keys() & rest.keys() for a in left[k] for b in rest[k])
             else:
-                there = set(other_words[j])
-                found.update((a, rest) for (rest, _), ones in here.items() if rest in there for a in ones)
+                there = set(there)
+                found.update((a, rest) for (rest, _), ones in left.items() if rest in there for a in ones)
     return found
 
 
@@ -242,20 +253,20 @@ def _search(table: pa.Table) -> pa.Table:
     )
 
 
-def fitted_trees(words: DataFrame, sample: int = SAMPLE, most: int = CELL_SAMPLE) -> dict[int, object]:
-    """The upper tree of each length, from the words whose hash falls into the sampled share."""
-    total = words.count()
-    share = min(1.0, sample / max(1, total))
+def fitted_trees(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> dict[int, object]:
+    """The upper tree of each length, from the words whose hash falls into the sampled share; a cell holds
+    the share of ``cell`` words."""
+    share = min(1.0, sample / max(1, words.count()))
     picked = words.where(F.pmod(F.xxhash64("word"), F.lit(1 << 20)) < F.lit(round(share * (1 << 20))))
-    by_size = defaultdict(list)
+    by_size, most = defaultdict(list), max(1, round(cell * share))
     for (word,) in picked.select("word").collect():
         by_size[len(word)].append(word)
     return {size: upper_tree(vectors(own), most) for size, own in by_size.items() if len(own) > most}
 
 
-def near_links(words: DataFrame, cell: int = CELL, sample: int = SAMPLE, most: int = CELL_SAMPLE) -> DataFrame:
+def near_links(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
     """``word, other, other_n``: a row for each ordered pair of near words of ``words`` (word, n)."""
-    trees = fitted_trees(words, sample, most)
+    trees = fitted_trees(words, cell, sample)
     visits = cut(words.mapInArrow(_visits(trees), "length int, cell int, word string, n long, home boolean, reach int"), "visits")
     pieces = visits.where("home").groupBy("length", "cell").agg(F.ceil(F.count("*") / cell).cast("int").alias("pieces"))
     seen = visits.join(pieces, ["length", "cell"])
