@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as s
+from ..sources.scratch import cut
 from .quantiles import sketch
 from .schema import quoted
 
@@ -45,13 +44,29 @@ def with_rates(counts: DataFrame, beta: float = 1.5) -> DataFrame:
     )
 
 
-def _score_buckets(rows: DataFrame, buckets: int) -> Bucketizer:
-    """Buckets of about equal weight, in the order of the score ``_s``."""
-    found = rows.agg(sketch("_s", [i / buckets for i in range(1, buckets)], 20 * buckets).alias("edges")).first()
-    inner = sorted({e for e in found["edges"] or [] if math.isfinite(e)}) or [0.0]
-    return Bucketizer(
-        inputCol="_s", outputCol="_bucket", splits=[-math.inf, *inner, math.inf], handleInvalid="keep"
-    )
+#: Edges that are looked at one after the other to find a score's bucket.
+STRIDE = 32
+
+
+def bucketed_scores(counts: DataFrame, keys: Sequence[str] = (), buckets: int = 1024) -> DataFrame:
+    """``counts`` with ``_bucket``: the place of the score ``_s`` among the quantiles of its own group's
+    distinct scores, so that every group, whatever band it lies in, is cut into buckets of equal size."""
+    inner = [i / buckets for i in range(1, buckets)]
+    edges = counts.groupBy(*[quoted(k) for k in keys]).agg(sketch("_s", inner, 10 * buckets).alias("_edges"))
+    marks = F.expr(f"transform(sequence(1, size(_edges) div {STRIDE}), j -> _edges[j * {STRIDE} - 1])")
+    edges = edges.withColumn("_marks", F.expr("array()").cast("array<double>") if buckets <= STRIDE else marks)
+    if keys:
+        named = edges.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(keys)})
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & counts[f"`{k}`"].eqNullSafe(named[f"_key{i}"])
+        found = counts.join(named, same)
+    else:
+        found = counts.withColumn("_e", edges.select(F.struct("_edges", "_marks")).scalar()).select("*", "_e.*")
+    coarse = f"{STRIDE} * size(filter(_marks, e -> e < _s))"
+    fine = F.expr(f"size(filter(slice(_edges, _at + 1, {STRIDE - 1}), e -> e < _s))")
+    placed = found.withColumn("_at", F.expr(coarse)).withColumn("_bucket", F.col("_at") + fine)
+    return placed.select(*[quoted(c) for c in counts.columns], "_bucket")
 
 
 def roc_auc(
@@ -59,10 +74,10 @@ def roc_auc(
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent.
 
-    Rows with equal scores are counted first, so a popular score is one row. Quantiles of the score
-    cut its range into buckets of about equal weight. Pairs inside a bucket come from a running count
-    in that bucket; pairs across buckets from a running count over the few buckets. The quantiles are
-    found when this is called; the rest runs with the result.
+    Rows with equal scores are counted first, in the one pass over the rows, so a popular score is one
+    row. Quantiles of each group's scores cut its range into buckets of about equal size. Pairs inside a
+    bucket come from a running count in that bucket; pairs across buckets from a running count over the
+    few buckets. The counts are written when this is called; the rest runs with the result.
     """
     keep = [quoted(k) for k in keys]
     rows = df.select(*keep, quoted(score).cast("double").alias("_s"), quoted(label).alias("_y")).filter(
@@ -72,7 +87,7 @@ def roc_auc(
         F.count_if(F.col("_y") == 1).cast("double").alias("_pos"),
         F.count_if(F.col("_y") == 0).cast("double").alias("_neg"),
     )
-    counts = _score_buckets(rows, buckets).transform(counts)
+    counts = bucketed_scores(cut(counts, "score-counts"), keys, buckets)
     lower = Window.partitionBy(*keep, "_bucket").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = (
         counts.withColumn("_below", F.coalesce(F.sum("_neg").over(lower), F.lit(0.0)))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -55,13 +54,13 @@ def time_split(df: DataFrame, column: str, windows: TimeWindows, name: str = "sp
     return df.withColumn(name, window_name(F.col(column), windows))
 
 
-def _shared(classes: DataFrame, of: str, draws: int, name: str) -> DataFrame:
+def _shared(classes: DataFrame, of: str, draws: Column, name: str) -> DataFrame:
     """Column ``name``: ``draws`` shared among the classes in proportion to column ``of``, whole numbers
     by largest remainder, equal remainders by class name. Classes are ranked here, not rows."""
-    total = classes.agg(F.sum(of)).first()[0]
-    exact = F.lit(float(draws)) * F.col(of) / F.lit(float(total or 1))
+    total = classes.agg(F.sum(of).cast("double")).scalar()
+    exact = draws.cast("double") * F.col(of) / F.greatest(total, F.lit(1.0))
     parts = classes.withColumn(name, F.floor(exact).cast("long")).withColumn("_over", exact - F.col(name))
-    left = draws - (parts.agg(F.sum(name)).first()[0] or 0)
+    left = draws - parts.agg(F.sum(name)).scalar()
     order = Window.orderBy(F.desc("_over"), F.col("_label").cast("string"))
     more = (F.row_number().over(order) <= left).cast("long")
     return parts.withColumn(name, F.col(name) + more).drop("_over")
@@ -69,11 +68,12 @@ def _shared(classes: DataFrame, of: str, draws: int, name: str) -> DataFrame:
 
 def stratified_sizes(classes: DataFrame, test_size: float = 0.2, val_size: float = 0.2) -> DataFrame:
     """``_label, n_test, n_val`` for classes ``_label, _n``. The test part is cut first; the validation part
-    is cut from the rest with its share rescaled. Each part's total is rounded up."""
-    total = classes.agg(F.sum("_n")).first()[0] or 0
-    left = total - math.ceil(test_size * total)
+    is cut from the rest with its share rescaled. Each part's total is rounded up. Totals are scalar
+    subqueries, so nothing runs before the result does."""
+    total = F.coalesce(classes.agg(F.sum("_n")).scalar(), F.lit(0))
+    left = total - F.ceil(F.lit(test_size) * total)
     rest = _shared(classes, "_n", left, "_rest")
-    train = _shared(rest, "_rest", left - math.ceil(val_size / (1 - test_size) * left), "_train")
+    train = _shared(rest, "_rest", left - F.ceil(F.lit(val_size / (1 - test_size)) * left), "_train")
     return train.selectExpr("_label", "_n - _rest AS n_test", "_rest - _train AS n_val")
 
 
@@ -95,30 +95,25 @@ def stratified_split(
 
     Rows are ordered within their class by :func:`split_hash`; the first are test, the next
     validation. Rows that share a key and class stay together, so the sizes are exact when ``key`` is
-    unique. Only the hash at each cut is searched for: rows are counted by the first three digits, the
-    rows that share them with a cut are written and counted by six, and the rest, one of 16 million
-    parts of a class, is ranked. Counts and cuts are tables, whatever the number of classes. Assigning
-    rows is a comparison with the cuts of their class; a row without a label is in no part (null).
+    unique. Only the hash at each cut is searched for: rows are counted by the first five digits, and the
+    rows that share them with a cut, one of a million parts of a class, are ranked. Counts and cuts are
+    written tables, whatever the number of classes. Assigning rows is a comparison with the cuts of their
+    class; a row without a label is in no part (null).
     """
     hashed = df.select(quoted(label).alias("_label"), split_hash(quoted(key), seed).alias("_hash")).filter(
         F.col("_label").isNotNull()
     )
-    first, deeper = F.substring("_hash", 1, 3).alias("_prefix"), F.substring("_hash", 1, 6).alias("_deep")
-    counted = cut(hashed.groupBy("_label", first).agg(F.count(F.lit(1)).alias("_n")), "prefix-counts")
+    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, 5))
+    counted = cut(hashed.groupBy("_label", "_prefix").agg(F.count(F.lit(1)).alias("_n")), "prefix-counts")
     classes = counted.groupBy("_label").agg(F.sum("_n").alias("_n"))
     sizes = stratified_sizes(classes, test_size, val_size)
     parts = {"test": F.col("n_test"), "val": F.col("n_test") + F.col("n_val")}
     last = F.array(*[F.struct(F.lit(p).alias("_part"), n.alias("_rank")) for p, n in parts.items()])
     ranks = sizes.select("_label", F.explode(last).alias("c")).select("_label", "c.*").filter("_rank > 0")
-    at = cut(_narrowed(counted, ranks, ["_label"], "_prefix"), "cut-prefixes")
-
-    inside = hashed.select("_label", "_hash", first, deeper).join(at, ["_label", "_prefix"], "left_semi")
-    inside = cut(inside, "cut-rows")
-    counted = inside.groupBy("_label", "_prefix", "_deep").agg(F.count(F.lit(1)).alias("_n"))
-    at = cut(_narrowed(counted, at, ["_label", "_prefix"], "_deep"), "cut-deeper").drop("_prefix")
-    order = Window.partitionBy("_label", "_deep").orderBy("_hash")
-    ranked = inside.join(at, ["_label", "_deep"], "left_semi").withColumn("_rank", F.row_number().over(order))
-    found = ranked.drop("_prefix").join(at, ["_label", "_deep", "_rank"])
+    at = _narrowed(counted, ranks)
+    order = Window.partitionBy("_label", "_prefix").orderBy("_hash")
+    inside = hashed.join(at, ["_label", "_prefix"], "left_semi").withColumn("_rank", F.row_number().over(order))
+    found = inside.join(at, ["_label", "_prefix", "_rank"])
     hash_of = [F.max(F.when(F.col("_part") == p, F.col("_hash"))).alias(f"_{p}") for p in parts]
     cuts = cut(found.groupBy(F.col("_label").alias("_class")).agg(*hash_of), "cuts")
 
@@ -132,12 +127,12 @@ def stratified_split(
     return placed.withColumn(name, part).drop("_hash", "_class", "_test", "_val")
 
 
-def _narrowed(counts: DataFrame, wanted: DataFrame, keys: list[str], prefix: str) -> DataFrame:
-    """The prefix that holds each wanted rank, and the rank inside it."""
-    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy(prefix)) - F.col("_n")
-    placed = counts.withColumn("_before", before).join(wanted, keys)
+def _narrowed(counts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The prefix that holds each wanted rank of a class, and the rank inside it."""
+    before = F.sum("_n").over(Window.partitionBy("_label").orderBy("_prefix")) - F.col("_n")
+    placed = counts.withColumn("_before", before).join(wanted, "_label")
     hit = F.col("_rank").between(F.col("_before") + 1, F.col("_before") + F.col("_n"))
-    return placed.filter(hit).select(*keys, "_part", prefix, (F.col("_rank") - F.col("_before")).alias("_rank"))
+    return placed.filter(hit).select("_label", "_part", "_prefix", (F.col("_rank") - F.col("_before")).cast("int").alias("_rank"))
 
 
 def class_distribution(df: DataFrame, label: str = "label", split: str = "split") -> DataFrame:

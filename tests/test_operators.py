@@ -324,3 +324,65 @@ def test_split_hash_order_is_the_global_order(spark):
         ordered = sorted(ids, key=lambda i: hashlib.md5(f"42|{i}".encode()).hexdigest())
         names = [split[i] for i in ordered]
         assert names == sorted(names, key=["test", "val", "train"].index)
+
+
+# ---- brackets and buckets of any size
+
+
+@pytest.mark.parametrize("most", [300, 20, 3])
+def test_refined_brackets_give_the_same_values(spark, monkeypatch, most):
+    monkeypatch.setattr(quantiles, "PARTS", 4)
+    rnd = random.Random(most)
+    data = [(k, float(rnd.choice([rnd.random(), rnd.randint(0, 5)]))) for k in "abc" for _ in range({"a": 900, "b": 40, "c": 1}[k])]
+    df = spark.createDataFrame(data + [("a", None), ("d", None)], "k string, v double")
+    probs = [0.1, 0.5, 0.97]
+    place = lambda n, p: {"lower": F.floor(p * (n - 1)), "upper": F.ceil(p * (n - 1))}
+    got = quantiles.order_statistics(df, "v", probs, place, ["k"], accuracy=20, most=most)
+    want = set()
+    for k in "abc":
+        vals = sorted(v for g, v in data if g == k)
+        for i, p in enumerate(probs):
+            want.add((k, i, len(vals), vals[math.floor(p * (len(vals) - 1))], vals[math.ceil(p * (len(vals) - 1))]))
+    assert {tuple(r) for r in got.select("k", "_i", "_n", "lower", "upper").collect()} == want
+    alone = quantiles.order_statistics(df, "v", [0.5], place, accuracy=20, most=most).first()
+    vals = sorted(v for _, v in data)
+    assert (alone["lower"], alone["upper"]) == (vals[(len(vals) - 1) // 2], vals[math.ceil((len(vals) - 1) / 2)])
+
+
+def test_no_window_over_more_than_the_bound(spark, monkeypatch):
+    """Ten million distinct values with a coarse sketch: what reaches the window stays below the bound."""
+    seen, real = [], quantiles._refined
+
+    def watched(counts, *rest):
+        out = real(counts, *rest)
+        seen.append((counts.filter("_v is not null").count(), out.filter("_v is not null").count()))
+        return out
+
+    monkeypatch.setattr(quantiles, "_refined", watched)
+    n = 10_000_000
+    df = spark.range(n).select(F.expr("id * 7919 % 10000000").cast("double").alias("v"))
+    got = quantiles.order_statistics(df, "v", [0.25], lambda n, p: {"x": F.floor(p * n)}, accuracy=100, most=50_000).first()
+    assert got["x"] == n // 4
+    ((before, after),) = seen
+    assert before > 400_000 and 0 < after <= 50_000
+
+
+def test_every_group_has_buckets_of_its_own(spark):
+    """One group lies in a narrow band of the others' range; its buckets are as small as theirs."""
+    from featuremart.operators.metrics import bucketed_scores
+
+    rnd = random.Random(5)
+    data = [("wide", rnd.random() * 1e6) for _ in range(4000)] + [("narrow", 10 + rnd.random() / 1e3) for _ in range(4000)] + [(None, 1.0), ("one", 2.0)]
+    counts = spark.createDataFrame(data, "k string, _s double")
+    placed = bucketed_scores(counts, ["k"], buckets=128)
+    assert sorted(placed.columns) == ["_bucket", "_s", "k"] and placed.count() == len(data)
+    sizes = {(r["k"], r["_bucket"]): r["count"] for r in placed.groupBy("k", "_bucket").count().collect()}
+    for k in ("wide", "narrow"):
+        own = [n for (g, _), n in sizes.items() if g == k]
+        assert len(own) > 100 and max(own) <= 2 * 4000 / 128
+    last = {}
+    for r in placed.orderBy("k", "_s").collect():
+        assert r["_bucket"] >= last.get(r["k"], 0)
+        last[r["k"]] = r["_bucket"]
+    alone = bucketed_scores(counts.select("_s"), buckets=16)
+    assert alone.count() == len(data) and alone.select("_bucket").distinct().count() > 8
