@@ -26,19 +26,51 @@ ID_COLUMNS = ("customer_id", SNAPSHOT, "loan_id", "label_date", LABEL, "label_de
 SMALL_GRID = {"n_estimators": [50, 100], "max_depth": [4, 6], "learning_rate": [0.05, 0.1]}
 
 
+def resolve_labels(labels: DataFrame) -> DataFrame:
+    """One label row for each loan: the earliest dated one, as later rows restate what was known by then;
+    of several rows on that date the worst label, and the smallest values of the other columns.
+
+    An aggregate by loan, combined on the map side, so a loan with very many rows costs no more. Rows
+    without a loan id belong to no loan and are left out; :func:`label_merges` counts all of this.
+    """
+    rest = [quoted(c) for c in labels.columns if c not in ("loan_id", SNAPSHOT, LABEL)]
+    day, label = F.col(SNAPSHOT), F.col(LABEL)
+    order = F.struct(day.isNull().alias("_undated"), day, label.isNull().alias("_unknown"), (-label).alias("_better"), *rest)
+    first = labels.filter(F.col("loan_id").isNotNull()).groupBy("loan_id").agg(F.min(order).alias("_first"))
+    of = {"loan_id": F.col("loan_id"), LABEL: (-F.col("_first._better")).cast(labels.schema[LABEL].dataType)}
+    return first.select(*[of.get(c, F.col("_first")[c]).alias(c) for c in labels.columns])
+
+
+def label_merges(labels: DataFrame) -> DataFrame:
+    """One row on what :func:`resolve_labels` does: label rows, loans, rows merged into others, loans whose
+    rows differ in date or label, and rows without a loan."""
+    loan = F.col("loan_id").isNotNull()
+    said = F.struct(F.col(SNAPSHOT).cast("string").alias("day"), F.col(LABEL).alias("label"))
+    per_loan = labels.groupBy("loan_id").agg(F.count(F.lit(1)).alias("n"), (F.min(said) != F.max(said)).alias("differ"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return per_loan.agg(
+        total("n").alias("label_rows"),
+        F.count_if(loan).alias("loans"),
+        total(F.when(loan, F.col("n") - 1)).alias("merged_rows"),
+        F.count_if(loan & F.col("differ")).alias("differing_loans"),
+        total(F.when(~loan, F.col("n"))).alias("rows_without_loan"),
+    )
+
+
 def labelled_rows(
     features: DataFrame, labels: DataFrame, windows: TimeWindows, mob: int = LABEL_MOB
 ) -> DataFrame:
     """One row per loan: its label, label date and window ('train', 'oot', 'none'), and the customer's
     latest features at or before the loan's start, ``mob`` months before the label's date.
 
-    The label's date decides the window. A row dated on the training date itself lies in neither. A loan
+    A loan with several label rows takes the one that :func:`resolve_labels` picks. The label's date
+    decides the window. A row dated on the training date itself lies in neither. A loan
     whose customer has no features by its start gives no row; :func:`pairing_counts` counts them.
 
     Which snapshot a loan takes is found on distinct (customer, day) pairs, so neither features nor loans
     are paired with all the others of a customer.
     """
-    dated = labels.select(
+    dated = resolve_labels(labels).select(
         "customer_id",
         "loan_id",
         LABEL,
@@ -59,16 +91,17 @@ def labelled_rows(
 
 
 def pairing_counts(features: DataFrame, labels: DataFrame, paired: DataFrame) -> dict:
-    """What the gate before training looks at: loans, loans with features, and keys that occur again."""
+    """What the gate before training looks at: loans, loans with features, keys that occur again, and what
+    was merged to have one label for each loan."""
 
     def again(df: DataFrame, *keys: str) -> int:
         return df.groupBy(*keys).count().agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0))).first()[0]
 
     return {
-        "loans": labels.count(),
+        **label_merges(labels).first().asDict(),
         "paired": paired.count(),
         "repeated_features": again(features, "customer_id", SNAPSHOT),
-        "repeated_loans": again(labels, "loan_id"),
+        "repeated_loans": again(paired, "loan_id"),
     }
 
 
@@ -78,6 +111,16 @@ def check_pairing(counts: Mapping[str, int]) -> None:
         raise ValueError(f"features and labels do not pair one to one: {dict(counts)}")
 
 
+def merge_messages(counts: Mapping[str, int]) -> list[str]:
+    """What the run's summary says about labels that were merged or left out."""
+    found = []
+    if counts["merged_rows"]:
+        found.append(f"labels: {counts['merged_rows']} rows merged, {counts['differing_loans']} loans with differing rows")
+    if counts["rows_without_loan"]:
+        found.append(f"labels: {counts['rows_without_loan']} rows without a loan left out")
+    return found
+
+
 @dataclass
 class TrainedRun:
     """What training leaves behind. Tables stay tables; the rest is a few numbers."""

@@ -160,8 +160,39 @@ def test_pairing_stops_on_repeated_keys(spark):
     paired = training.labelled_rows(features, labels, windows)
     assert {(r["loan_id"], r["x"]) for r in paired.collect()} == {("l1", 3), ("l2", 1)}
     counts = training.pairing_counts(features, labels, paired)
-    assert counts == {"loans": 4, "paired": 2, "repeated_features": 0, "repeated_loans": 0}
+    merged = {"label_rows": 4, "merged_rows": 0, "differing_loans": 0, "rows_without_loan": 0}
+    assert counts == merged | {"loans": 4, "paired": 2, "repeated_features": 0, "repeated_loans": 0}
     training.check_pairing(counts)
     twice = features.union(features.limit(1))
     with pytest.raises(ValueError, match="'repeated_features': 1"):
         training.check_pairing(training.pairing_counts(twice, labels, training.labelled_rows(twice, labels, windows)))
+
+
+def test_a_loan_has_one_label(spark):
+    """Two equal rows, two that differ on a date, two that differ in date, and rows without a loan or a date."""
+    from featuremart.operators.splits import TimeWindows
+    from featuremart.plans import training
+
+    day = lambda m: dt.date(2024, m, 1)
+    rows = [("same", "a", 1, day(9)), ("same", "a", 1, day(9)), ("worse", "a", 0, day(9)), ("worse", "a", 1, day(9))]
+    rows += [("later", "a", 1, day(9)), ("later", "a", 0, day(8)), (None, "a", 1, day(9)), (None, "b", 0, day(8))]
+    rows += [("undated", "a", 1, None), ("undated", "a", 0, day(9)), ("unknown", "b", None, day(9)), ("unknown", "c", 0, day(9)), ("shared", "b", 1, day(9)), ("shared", "a", 1, day(9))]
+    labels = spark.createDataFrame(rows, "loan_id string, customer_id string, label int, snapshot_date date").repartition(4)
+    got = training.resolve_labels(labels)
+    assert got.columns == labels.columns and got.dtypes == labels.dtypes
+    assert {tuple(r) for r in got.collect()} == {
+        ("same", "a", 1, day(9)), ("worse", "a", 1, day(9)), ("later", "a", 0, day(8)), ("undated", "a", 0, day(9)),
+        ("unknown", "c", 0, day(9)), ("shared", "a", 1, day(9)),
+    }
+    features = spark.createDataFrame([("a", day(1), 1), ("a", day(3), 3)], "customer_id string, snapshot_date date, x int")
+    paired = training.labelled_rows(features, labels, TimeWindows.before(dt.date(2024, 10, 1)))
+    assert sorted((r["loan_id"], r["x"]) for r in paired.collect()) == [("later", 1), ("same", 3), ("shared", 3), ("undated", 3), ("worse", 3)]
+    counts = training.pairing_counts(features, labels, paired)
+    assert counts == {
+        "label_rows": 14, "loans": 6, "merged_rows": 6, "differing_loans": 4, "rows_without_loan": 2,
+        "paired": 5, "repeated_features": 0, "repeated_loans": 0,
+    }
+    training.check_pairing(counts)
+    assert training.merge_messages(counts) == ["labels: 6 rows merged, 4 loans with differing rows", "labels: 2 rows without a loan left out"]
+    none = labels.limit(0)
+    assert training.label_merges(none).first().asDict() == dict.fromkeys(training.label_merges(none).columns, 0)

@@ -14,7 +14,8 @@ from featuremart.operators.pointintime import point_in_time_means
 from featuremart.operators.profiling import table_shape
 from featuremart.operators.scaling import fit_scaler, scale
 from featuremart.plans import gold, silver
-from featuremart.plans.training import labelled_rows
+from featuremart.plans.training import label_merges, labelled_rows
+from featuremart.sources.scratch import scratch_dir
 
 from .registry import Tables, query
 from .standins import (
@@ -128,9 +129,12 @@ PAIR_WINDOWS = splits.TimeWindows.before(date(1998, 1, 1))
 WITH {LMS_SQL},
 placed AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date,
                   count(*) AS orders_placed FROM orders GROUP BY 1, 2),
+resolved AS (
+  SELECT loan_id, customer_id, label, snapshot_date FROM labels_built
+  QUALIFY row_number() OVER (PARTITION BY loan_id ORDER BY snapshot_date, label DESC, customer_id) = 1),
 latest AS (
   SELECT l.loan_id, l.customer_id, l.label, l.snapshot_date AS label_date, max(p.snapshot_date) AS snapshot_date
-  FROM labels_built l JOIN placed p
+  FROM resolved l JOIN placed p
     ON p.customer_id = l.customer_id AND p.snapshot_date <= CAST(l.snapshot_date - INTERVAL 6 MONTH AS DATE)
   GROUP BY 1, 2, 3, 4)
 SELECT customer_id, snapshot_date, orders_placed, loan_id, label, label_date,
@@ -148,6 +152,18 @@ def labelled(t: Tables):
     return labelled_rows(placed, gold.build_labels(silver.clean_lms(raw_lms(t))), PAIR_WINDOWS)
 
 
+@query(
+    "label_merges",
+    f"""
+WITH {LMS_SQL},
+per_loan AS (SELECT loan_id, count(*) AS n, count(DISTINCT (snapshot_date, label)) AS kinds FROM labels_built GROUP BY 1)
+SELECT CAST(sum(n) AS BIGINT) AS label_rows, count(*) AS loans, CAST(sum(n - 1) AS BIGINT) AS merged_rows,
+       count(*) FILTER (WHERE kinds > 1) AS differing_loans, CAST(0 AS BIGINT) AS rows_without_loan FROM per_loan""",
+)
+def merges(t: Tables):
+    return label_merges(gold.build_labels(silver.clean_lms(raw_lms(t))))
+
+
 @query(
     "pairing_gate",
     """
@@ -384,3 +400,43 @@ def store_shape(t: Tables):
         .select(F.lit("label_store").alias("store"), "row_count", "column_count")
         .unionByName(table_shape(t.documents).select(F.lit("documents").alias("store"), "row_count", "column_count"))
     )
+
+
+@query(
+    "gold_roundtrip",
+    f"""
+WITH {STORE_SQL},
+features AS (
+  SELECT snapshot_date, count(*) AS feature_rows, CAST(sum(num_of_loan) AS BIGINT) AS loans,
+         CAST(sum("1-urgent") AS BIGINT) AS urgent FROM store GROUP BY 1),
+marks AS (SELECT snapshot_date, count(*) AS label_rows, CAST(sum(label) AS BIGINT) AS bad FROM labels_built GROUP BY 1)
+SELECT f.snapshot_date, feature_rows, loans, urgent, coalesce(label_rows, 0) AS label_rows, coalesce(bad, 0) AS bad
+FROM features f LEFT JOIN marks m ON f.snapshot_date = m.snapshot_date
+WHERE f.snapshot_date BETWEEN DATE '1996-01-01' AND DATE '1998-12-01'""",
+)
+def gold_roundtrip(t: Tables):
+    """Silver tables on disk, both stores written for the dates of three years, read back."""
+    root = scratch_dir(t.spark, "mart")
+    fin = silver.clean_financials(
+        raw_financials(t), kinds=FIN_KINDS, clipped=FIN_CLIPPED, loan_types=LOAN_TOKENS, exact_caps=True
+    )
+    months = t.orders.select(
+        F.col("o_custkey").cast("string").alias("customer_id"), F.trunc("o_orderdate", "MM").alias("snapshot_date")
+    ).distinct()
+    people = silver.clean_attributes(raw_attributes(t).withColumn("snapshot_date", F.lit(None))).drop("snapshot_date")
+    made = {
+        "attributes": months.join(people, "customer_id"),
+        "financials": fin.main,
+        "loan_type": fin.loan_type,
+        "clickstream": clicks(t).select("customer_id", "snapshot_date", *[(F.col("cents") * i).alias(f"fe_{i}") for i in range(1, 21)]),
+        "lms": silver.clean_lms(raw_lms(t)),
+    }
+    for name, df in made.items():
+        df.write.parquet(f"{root}/silver/{name}")
+    dates = [f"{y}-{m:02d}-01" for y in (1996, 1997, 1998) for m in range(1, 13)]
+    features, labels = gold.write_gold(t.spark, f"{root}/silver", f"{root}/gold", dates)
+    found = features.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("feature_rows"), F.sum("num_of_loan").cast("long").alias("loans"), F.sum("1-urgent").alias("urgent")
+    )
+    marks = labels.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("label_rows"), F.sum("label").alias("bad"))
+    return found.join(marks, "snapshot_date", "left").fillna(0, ["label_rows", "bad"])
