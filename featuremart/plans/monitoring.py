@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.boosting import SCORE
@@ -30,6 +30,36 @@ def drift_by_run(metrics: DataFrame, baseline: DataFrame, tolerance: float = AUC
     )
 
 
+METRICS = "kind string, run_id string, model_run_id string, auc double"
+
+
+def store_metrics(rows: DataFrame, path: str) -> None:
+    """Keep metrics of runs (:data:`METRICS`; kind 'training' or 'monitoring'). Those of a run that is
+    stored again replace its earlier ones; other runs stay."""
+    writer = rows.select("kind", "run_id", "model_run_id", "auc").write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("kind", "run_id").parquet(path)
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(METRICS).parquet(path)
+
+
+def drift_history(metrics: DataFrame, tolerance: float = AUC_TOLERANCE) -> DataFrame:
+    """Each stored monitoring run against the training run of the model it scored with; without one the
+    baseline is null and nothing is judged."""
+    base = metrics.filter("kind = 'training'").select(F.col("run_id").alias("model_run_id"), F.col("auc").alias("baseline_auc"))
+    runs = metrics.filter("kind = 'monitoring'").join(base, "model_run_id", "left")
+    auc, baseline = F.col("auc"), F.col("baseline_auc")
+    return runs.select(
+        "run_id",
+        "model_run_id",
+        "auc",
+        "baseline_auc",
+        F.abs(auc - baseline).alias("auc_drift"),
+        drift_message(auc, baseline, tolerance).alias("drift_alert"),
+    )
+
+
 def has_quality_issues(missing_columns: Column, very_low: Column, very_high: Column) -> Column:
     """True when a column has missing values or a score is extreme."""
     return (missing_columns > 0) | (very_low + very_high > 0)

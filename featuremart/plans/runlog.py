@@ -14,27 +14,51 @@ from ..sources.tables import SNAPSHOT
 LOG_COLUMNS = ("layer", "table_name", SNAPSHOT, "rows", "status", "error")
 
 
-def partition_log(expected: DataFrame, counts: DataFrame, layer: str) -> DataFrame:
+def partition_log(expected: DataFrame, counts: DataFrame, layer: str, reasons: DataFrame | None = None) -> DataFrame:
     """One row per expected (table_name, snapshot_date): rows written, status, error.
 
     One distributed job has no try/except per partition, so the status comes from the data: an
-    expected partition without rows is recorded as failed and the rest goes on.
+    expected partition without rows, or one that ``reasons`` (table_name, snapshot_date, reason) names, is
+    recorded as failed and the rest goes on.
     """
     on = ["table_name", SNAPSHOT]
     joined = expected.select(*on).join(counts.select(*on, "rows"), on=on, how="left")
+    if reasons is None:
+        joined = joined.withColumn("reason", F.lit(None).cast("string"))
+    else:
+        joined = joined.join(reasons.groupBy(*on).agg(F.min("reason").alias("reason")), on=on, how="left")
     rows = F.coalesce(F.col("rows"), F.lit(0))
+    nothing = F.concat(F.lit("no rows in "), F.col("table_name"), F.lit(" for "), F.col(SNAPSHOT).cast("string"))
     return joined.select(
         F.lit(layer).alias("layer"),
         *on,
         rows.alias("rows"),
-        F.when(rows > 0, "processed").otherwise("failed").alias("status"),
-        F.when(
-            rows == 0,
-            F.concat(F.lit("no rows in "), F.col("table_name"), F.lit(" for "), F.col(SNAPSHOT).cast("string")),
-        ).alias("error"),
+        F.when((rows > 0) & F.col("reason").isNull(), "processed").otherwise("failed").alias("status"),
+        F.coalesce("reason", F.when(rows == 0, nothing)).alias("error"),
     )
 
 
+def append_log(log: DataFrame, path: str, run_id: str, attempt: int) -> None:
+    """Add one attempt's log to the table of all attempts; nothing there is changed."""
+    rows = log.select(F.lit(run_id).alias("run_id"), F.lit(attempt).cast("int").alias("attempt"), *LOG_COLUMNS)
+    rows.write.mode("append").parquet(path)
+
+
+def latest_status(history: DataFrame) -> DataFrame:
+    """Of each (layer, table, partition) the log row of its last attempt, whichever run that was."""
+    key = ["layer", "table_name", SNAPSHOT]
+    rest = [c for c in history.columns if c not in key]
+    last = history.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct("attempt", "run_id")).alias("_last"))
+    return last.select(*key, *[f"_last.{c}" for c in rest])
+
+
+def pending(expected: DataFrame, history: DataFrame, layer: str) -> DataFrame:
+    """Expected (table_name, snapshot_date) pairs whose last attempt failed, or that had none."""
+    on = ["table_name", SNAPSHOT]
+    done = latest_status(history.filter(F.col("layer") == layer)).filter(F.col("status") == "processed")
+    return expected.select(*on).join(done.select(*on), on=on, how="left_anti")
+
+
 def table_log(log: DataFrame) -> DataFrame:
     """Partitions processed and failed per (layer, table)."""
     return log.groupBy("layer", "table_name").agg(

@@ -13,8 +13,9 @@ from ..functions import loans, parsing
 from ..operators.clipping import clip_above, fit_caps
 from ..operators.schema import KINDS, declare, fill_numeric, lower_columns, quoted
 from ..operators.tokens import fit_tokens, pivot_tokens
-from ..sources.scratch import scratch_scope
-from ..sources.tables import SNAPSHOT, read_partitions, write_partitions
+from ..sources.scratch import cut, scratch_scope
+from ..sources.quarantine import process_good
+from ..sources.tables import SNAPSHOT, drop_partitions, partition_values, read_dates, write_partitions
 
 # The declared columns of the source tables.
 ATTRIBUTES = {
@@ -106,9 +107,12 @@ def clean_financials(
 ) -> Financials:
     """Clean the financials of any number of snapshot dates at once.
 
-    Caps are fitted per snapshot date and the loan vocabulary over the whole table, unless given.
+    Caps are fitted per snapshot date and the loan vocabulary over the whole table, unless given. The raw
+    text is parsed once: what is to be fitted on is written typed, and both tables are made from that.
     """
     typed = numbers_of_financials(df, kinds)
+    if caps is None or loan_types is None:
+        typed = cut(typed, "typed-financials")
     if caps is None:
         caps = fit_caps(typed, clipped, q, exact=exact_caps)
     history = F.col("credit_history_age")
@@ -164,11 +168,15 @@ CLEANERS = {
 }
 
 
-def clean(table: str, df: DataFrame) -> dict[str, DataFrame]:
-    """Silver tables made from one bronze table, by name."""
+#: Silver tables of a bronze table that has more than one.
+SINKS = {"financials": ("financials", "loan_type")}
+
+
+def clean(table: str, df: DataFrame, **fitted) -> dict[str, DataFrame]:
+    """Silver tables made from one bronze table, by name. ``fitted`` goes to the table's cleaner."""
     if table not in CLEANERS:
         raise ValueError(f"no cleaner for table {table!r}; known: {sorted(CLEANERS)}")
-    cleaned = CLEANERS[table](lower_columns(df))
+    cleaned = CLEANERS[table](lower_columns(df), **fitted)
     if isinstance(cleaned, Financials):
         return {table: cleaned.main, "loan_type": cleaned.loan_type}
     return {table: cleaned}
@@ -192,6 +200,23 @@ def unresolved_overdue(lms: DataFrame, by: str = SNAPSHOT) -> DataFrame:
     return lms.groupBy(by).agg(F.count_if((F.col("overdue_amt") > 0) & F.col("dpd").isNull()).alias("rows"))
 
 
+def _same_vocabulary(
+    spark: SparkSession, bronze: str, silver_root: str, own: Sequence[str], fmt: str
+) -> Sequence[str | None] | None:
+    """The loan types that the stored dates other than ``own`` have columns for, if those of ``own`` are
+    among them; an empty list if they are not; None if no other date is stored."""
+    stored = f"{silver_root}/loan_type"
+    others = sorted(set(partition_values(spark, stored)) - set(own))
+    if not others:
+        return None
+    ids = ("customer_id", SNAPSHOT, "type_of_loan")
+    rest = "type_of_loan__other"
+    columns = [n for n in read_dates(spark, stored, others[:1]).columns if n not in ids]
+    known = [None if n == rest else n for n in columns]
+    found = fit_tokens(lower_columns(read_dates(spark, bronze, own, fmt)), "type_of_loan")
+    return known if None in known or set(found) <= set(known) else []
+
+
 def write_silver(
     spark: SparkSession,
     table: str,
@@ -199,14 +224,38 @@ def write_silver(
     silver_root: str,
     dates: Sequence[str] | None = None,
     fmt: str = "parquet",
-) -> list[str]:
+    content: bool = False,
+) -> dict[str, str]:
     """Clean one bronze table for all the dates in one plan and write its silver tables.
 
-    Bronze is laid out by date and cleaning does not shuffle, so neither does the write.
+    Bronze is laid out by date and cleaning does not shuffle, so neither does the write. A date that can't
+    be read or cleaned is set aside and loses its silver partitions; the others are written. Gives the
+    reasons by date. When only some dates are written, the loan types keep the columns of the stored
+    dates; a loan type that these lack makes all dates be written again.
     """
-    bronze = read_partitions(spark, f"{bronze_root}/{table}", fmt, dates)
-    with scratch_scope(spark):
-        outputs = clean(table, bronze)
-        for name, df in outputs.items():
-            write_partitions(df, f"{silver_root}/{name}", rebalance=False, dates=dates)
-    return list(outputs)
+    path = f"{bronze_root}/{table}"
+    there = partition_values(spark, path)
+    wanted = there if dates is None else [d for d in dates if d in set(there)]
+    gone = set(dates or ()) - set(wanted)
+
+    def probe(own: Sequence[str]) -> None:
+        with scratch_scope(spark):
+            for df in clean(table, read_dates(spark, path, own, fmt)).values():
+                df.write.format("noop").mode("overwrite").save()
+
+    def write(own: Sequence[str]) -> None:
+        fitted = {}
+        if table == "financials":
+            types = _same_vocabulary(spark, path, silver_root, own, fmt)
+            if types:
+                fitted["loan_types"] = types
+            elif types is not None:
+                own = sorted({*own, *partition_values(spark, f"{silver_root}/{table}")})
+        with scratch_scope(spark):
+            for name, df in clean(table, read_dates(spark, path, own, fmt), **fitted).items():
+                write_partitions(df, f"{silver_root}/{name}", rebalance=False, dates=own, content=content)
+
+    bad = process_good(wanted, write, probe) if wanted else {}
+    for name in SINKS.get(table, (table,)):
+        drop_partitions(spark, f"{silver_root}/{name}", gone | set(bad))
+    return bad

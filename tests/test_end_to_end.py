@@ -169,3 +169,100 @@ def test_wide_categories_are_stored_in_long_form(spark, run, tmp_path):
     assert got.filter("occupation__other = 1").select("category").distinct().count() == 12
     gold.write_gold(spark, f"{root}/silver", place, MONTHS)
     assert not (tmp_path / "gold" / "feature_categories").exists() or not list((tmp_path / "gold" / "feature_categories").glob("snapshot_date=*"))
+
+
+def statuses(log, table):
+    return {(r["layer"], str(r["snapshot_date"])): r["status"] for r in log.filter(F.col("table_name") == table).collect()}
+
+
+def written_files(root, table):
+    from pathlib import Path
+
+    return {str(p): p.stat().st_mtime_ns for p in Path(root, "silver", table).glob("snapshot_date=*/*.parquet")}
+
+
+def test_one_broken_date_of_24_is_set_aside_and_taken_up_again(spark, run, tmp_path):
+    """The other 23 dates are written; the next attempt touches the broken date only."""
+    files, root = run[0], str(tmp_path / "root")
+    for t in medallion.TABLES:
+        medallion.write_bronze(spark, t, files[t], f"{root}/bronze", MONTHS)
+    broken = MONTHS[7]
+    for table in ("lms", "financials"):
+        for file in (tmp_path / "root" / "bronze" / table / f"snapshot_date={broken}").glob("*.parquet"):
+            file.write_bytes(b"this is no parquet file")
+            (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    for table, n in (("lms", 24), ("financials", 18)):
+        bad = medallion.write_silver(spark, table, f"{root}/bronze", f"{root}/silver", MONTHS)
+        assert list(bad) == [broken] and bad[broken]
+        reasons = medallion.quarantined(spark, "silver", table, bad)
+        log = medallion.layer_partition_log(spark, "silver", f"{root}/silver", [table], MONTHS, reasons=reasons)
+        found = statuses(log, table)
+        assert found["silver", broken] == "failed" and sum(s == "processed" for s in found.values()) == n - 1
+        error = log.filter(f"table_name = '{table}' and snapshot_date = '{broken}'").first()["error"]
+        assert error == bad[broken]
+
+
+def test_resume_touches_failed_dates_only(spark, run, tmp_path, monkeypatch):
+    files, root = run[0], str(tmp_path / "root")
+    real, broken = medallion.write_bronze, MONTHS[7]
+
+    def spoilt(spark, table, *rest):
+        done = real(spark, table, *rest)
+        if table in ("lms", "financials"):
+            for file in (tmp_path / "root" / "bronze" / table / f"snapshot_date={broken}").glob("*.parquet"):
+                file.write_bytes(b"this is no parquet file")
+                (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+        return done
+
+    monkeypatch.setattr(medallion, "write_bronze", spoilt)
+    log, failures = medallion.process_layers(spark, files, root, "first", MONTHS)
+    monkeypatch.setattr(medallion, "write_bronze", real)
+    assert statuses(log, "lms")["bronze", broken] == statuses(log, "lms")["silver", broken] == "failed"
+    assert any(broken in f for f in failures)
+    before = {t: written_files(root, t) for t in ("lms", "financials", "loan_type", "attributes")}
+    again, failures = medallion.process_layers(spark, files, root, "second", MONTHS, resume=True)
+    assert failures == []
+    assert statuses(again, "lms")["bronze", broken] == statuses(again, "lms")["silver", broken] == "processed"
+    for t, old in before.items():
+        new = written_files(root, t)
+        fresh = {p for p in new if new[p] != old.get(p)}
+        assert set(old) <= set(new) and all(broken in p for p in fresh) and bool(fresh) == (t != "attributes"), t
+    history = medallion.run_history(spark, root)
+    touched = history.filter("run_id = 'second' and status = 'processed'").select("layer", "table_name", F.col("snapshot_date").cast("string")).collect()
+    assert {tuple(r) for r in touched} == {(a, t, broken) for a in ("bronze", "silver") for t in ("lms", "financials")}
+    assert spark.read.parquet(f"{root}/quarantine").filter("run_id = 'first'").count() >= 2
+    whole = read_partitions(spark, f"{run[1]}/silver/loan_type")
+    resumed = read_partitions(spark, f"{root}/silver/loan_type")
+    assert sorted(map(tuple, resumed.select(*whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_a_new_loan_type_on_resume_rewrites_all_dates(spark, run, tmp_path):
+    files, root = run[0], str(tmp_path / "root")
+    medallion.write_bronze(spark, "financials", files["financials"], f"{root}/bronze", MONTHS)
+    medallion.write_silver(spark, "financials", f"{root}/bronze", f"{root}/silver", MONTHS)
+    old = set(read_partitions(spark, f"{root}/silver/loan_type").columns)
+    day = read_partitions(spark, f"{root}/bronze/financials", dates=[MONTHS[2]])
+    from featuremart.sources.tables import write_partitions
+
+    new = day.withColumn("type_of_loan", F.lit("Boat Loan, and Auto Loan")).collect()
+    write_partitions(spark.createDataFrame(new, day.schema), f"{root}/bronze/financials", dates=[MONTHS[2]])
+    assert medallion.write_silver(spark, "financials", f"{root}/bronze", f"{root}/silver", [MONTHS[2]]) == {}
+    types = read_partitions(spark, f"{root}/silver/loan_type")
+    assert set(types.columns) - old == {"boat_loan"}
+    assert types.filter("boat_loan is null").count() == 0 and types.filter("boat_loan = 1").count() == len(new)
+
+
+def test_repeated_labels_are_merged_and_named(spark, run, tmp_path):
+    import csv
+
+    files, root = dict(run[0]), str(tmp_path / "root")
+    with open(files["lms"]) as f:
+        lines = list(csv.reader(f))
+    twice = [r for r in lines[1:] if r[4] == "6"][:3]
+    assert len(twice) == 3
+    files["lms"] = str(tmp_path / "lms.csv")
+    with open(files["lms"], "w", newline="") as f:
+        csv.writer(f).writerows([*lines, *twice])
+    summary = medallion.run_all(spark, files, root, "r", grid=GRID, baseline_params={"n_estimators": 3, "max_depth": 2}).first()
+    assert "labels: 3 rows merged, 0 loans with differing rows" in summary["issues"]
+    assert summary["model_training"]["model_saved"]

@@ -6,7 +6,7 @@ import pytest
 
 from workload import QUERIES
 
-TREES = {"gbt_train_score", "grid_search", "feature_importance_topk"}
+TREES = {"gbt_train_score", "grid_search", "feature_importance_topk", "prediction_contract", "grid_contract", "importance_contract"}
 
 
 def plan(spark, data_dir, name):

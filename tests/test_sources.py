@@ -139,3 +139,98 @@ def test_rows_without_a_readable_date_are_counted_and_kept(spark, tmp_path):
     source.write_text("X,snapshot_date\n1,2023-01-01\n")
     assert write_bronze(spark, "lms", str(source), bronze, ["2023-01-01"]) == 0
     assert not (tmp_path / "bronze_rejects" / "lms").exists()
+
+
+# ---- content checks
+
+
+def test_checksums_do_not_depend_on_order(spark, dated):
+    one = rows(tables.partition_checksums(dated.repartition(7, "id")))
+    assert one == rows(tables.partition_checksums(dated.orderBy(F.desc("id")).select("snapshot_date", "id")))
+    changed = dated.withColumn("id", F.when(F.col("id") == 4, 400).otherwise(F.col("id")))
+    other = rows(tables.partition_checksums(changed))
+    assert [a[0] for a, b in zip(one, other, strict=True) if a != b] == [D(2023, 2, 1)]
+
+
+def test_checksums_notice_doubled_rows_and_moved_nulls(spark):
+    day = D(2023, 1, 1)
+    sums = lambda data: rows(tables.partition_checksums(spark.createDataFrame(data, "a int, b int, m map<string,int>, snapshot_date date")))
+    base = [(1, None, {"x": 1}, day), (2, 2, None, day)]
+    assert sums(base) == sums(base[::-1])
+    assert sums(base) != sums([*base, (3, 3, None, day), (3, 3, None, day)])
+    assert sums(base) != sums([(None, 1, {"x": 1}, day), (2, 2, None, day)])
+    assert sums(base) != sums([(1, None, {"x": 2}, day), (2, 2, None, day)])
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_verify_content_names_the_partition(spark, dated, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    full = dated.select("id", F.when(F.col("id") % 4 != 0, F.col("id") / 3).alias("x"), F.lit("a,\"b\"").alias("s"), "snapshot_date")
+    tables.write_partitions(full, path, fmt=fmt, dates=["2023-01-01", "2023-02-01", "2023-03-01"], content=True)
+    assert all(r[3] and r[4] for r in rows(tables.verify_content(spark, path, full, fmt)))
+    changed = full.filter("month(snapshot_date) = 2").withColumn("x", F.when(F.col("id") == 4, 0.1).otherwise(F.col("x")))
+    tables.write_partitions(changed, path, fmt=fmt)
+    tables.write_partitions(full.filter("month(snapshot_date) = 3").limit(9), path, fmt=fmt)
+    extra = full.limit(1).withColumn("snapshot_date", F.lit(D(2023, 7, 1)))
+    tables.write_partitions(extra, path, fmt=fmt)
+    assert [r[1:] for r in rows(tables.verify_content(spark, path, full, fmt))] == [
+        (10, 10, True, True), (10, 10, True, False), (10, 9, False, False), (0, 1, False, False)
+    ]
+
+
+def test_a_write_that_changed_a_value_is_an_error(spark, dated, tmp_path, monkeypatch):
+    real = tables.read_partitions
+    wrong = lambda *a, **b: real(*a, **b).withColumn("id", F.when(F.col("id") == 4, 400).otherwise(F.col("id")))
+    days = ["2023-01-01", "2023-02-01", "2023-03-01"]
+    tables.write_partitions(dated, str(tmp_path / "t"), dates=days, content=True)
+    monkeypatch.setattr(tables, "read_partitions", wrong)
+    with pytest.raises(RuntimeError, match="differs from what was written for 2023-02-01$"):
+        tables.write_partitions(dated, str(tmp_path / "t"), dates=days, content=True)
+
+
+# ---- quarantine
+
+
+def test_failing_parts_are_found_by_halving():
+    from featuremart.sources import quarantine
+
+    tried = []
+
+    def attempt(parts):
+        tried.append(tuple(parts))
+        bad = sorted({"c", "k"} & set(parts))
+        if bad:
+            raise ValueError(f"{bad[0]} is bad\nmore")
+
+    names = list("abcdefghijklmnop")
+    assert quarantine.failing(names, attempt) == {"c": "ValueError: c is bad", "k": "ValueError: k is bad"}
+    assert len(tried) <= 17
+    tried.clear()
+    assert quarantine.process_good(["a", "b"], attempt, attempt) == {} and tried == [("a", "b")]
+    assert quarantine.process_good(["a", "b", "c"], attempt, attempt) == {"c": "ValueError: c is bad"} and tried[-1] == ("a", "b")
+    with pytest.raises(ValueError, match="c is bad"):
+        quarantine.process_good(["c", "k"], attempt, attempt)
+    assert quarantine.failing([], attempt) == {}
+
+
+def test_malformed_rows_are_kept_aside(spark, tmp_path):
+    from featuremart.plans.medallion import rejected_reasons, write_bronze
+
+    source, bronze = tmp_path / "raw.csv", str(tmp_path / "bronze")
+    source.write_text('X,Y,snapshot_date\n1,a,2023-01-01\n2,b\n3,c,2023-01-01,more\n4,"d,e",2023-01-01\n5,f,soon\n6,,2023-01-01\n')
+    assert write_bronze(spark, "lms", str(source), bronze, ["2023-01-01"], content=True) == 3
+    kept = spark.read.parquet(f"{bronze}_rejects/lms").collect()
+    assert sorted((r["reason"], r["_malformed"]) for r in kept if r["_malformed"]) == [("malformed row", "2,b"), ("malformed row", "3,c,2023-01-01,more")]
+    assert [(r["x"], r["reason"]) for r in kept if not r["_malformed"]] == [("5", "unreadable snapshot date")]
+    assert sorted((r.x, r.y) for r in spark.read.parquet(f"{bronze}/lms").collect()) == [("1", "a"), ("4", "d,e"), ("6", None)]
+    assert rejected_reasons(spark, bronze, "lms") == ["bronze lms: 2 malformed rows", "bronze lms: 1 rows without a readable snapshot date"]
+
+
+@pytest.mark.parametrize("content", [False, True])
+def test_dates_without_any_row(spark, tmp_path, content):
+    from featuremart.plans.medallion import write_bronze
+
+    source, bronze = tmp_path / "raw.csv", str(tmp_path / "bronze")
+    source.write_text("X,snapshot_date\n1,2023-01-01\n2,soon\n")
+    assert write_bronze(spark, "lms", str(source), bronze, ["2024-01-01", "2024-02-01"], content=content) == 1
+    assert not tables.has_partitions(spark, f"{bronze}/lms")

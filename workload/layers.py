@@ -18,6 +18,7 @@ from featuremart.sources.tables import (
     read_raw_csv,
     slice_snapshots,
     union_all,
+    verify_content,
     verify_written,
     write_partitions,
 )
@@ -85,6 +86,64 @@ def partition_verify(t: Tables):
     return verify_written(t.spark, root, rows, fmt="csv")
 
 
+@query(
+    "partition_content",
+    """
+WITH m AS (
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date, year(o_orderdate) = 1996 AND o_orderkey % 89 = 0 AS lost,
+         year(o_orderdate) = 1995 AND o_orderkey % 97 = 0 AS changed FROM orders)
+SELECT snapshot_date, count(*) AS expected_rows, count(*) FILTER (WHERE NOT lost) AS written_rows,
+       count(*) FILTER (WHERE lost) = 0 AS rows_match, count(*) FILTER (WHERE lost OR changed) = 0 AS content_matches
+FROM m GROUP BY 1""",
+)
+def partition_content(t: Tables):
+    """Months are written as text, checked by checksum, then some of them written again with a changed
+    price or without some rows."""
+    root = scratch_dir(t.spark, "orders-content")
+    rows = month_orders(t)
+    write_partitions(rows, root, fmt="csv")
+    year, key, price = F.year("snapshot_date"), F.col("o_orderkey"), F.col("o_totalprice")
+    again = rows.filter(year.isin(1995, 1996) & ~((year == 1996) & (key % 89 == 0)))
+    again = again.withColumn("o_totalprice", F.when((year == 1995) & (key % 97 == 0), price + 1).otherwise(price))
+    write_partitions(again, root, fmt="csv", dates=[f"{y}-{m:02d}-01" for y in (1995, 1996) for m in range(1, 13)], content=True)
+    return verify_content(t.spark, root, rows, fmt="csv")
+
+
+@query(
+    "silver_dispatch",
+    f"""
+WITH {ATTR_SQL}, {FIN_SQL}, {LMS_SQL}
+SELECT 'attributes' AS table_name, count(*) AS rows, count(age) AS filled FROM attr
+UNION ALL SELECT 'clickstream', count(*), count(CASE WHEN event_type <> 'view' THEN value END) FROM events
+UNION ALL SELECT 'financials', count(*), count(delay_from_due_date) FROM fin
+UNION ALL SELECT 'loan_type', count(*), count(*) FILTER (WHERE token_a = '1-urgent' OR token_b = '1-urgent') FROM loan_list
+UNION ALL SELECT 'lms', count(*), count(first_missed_date) FROM lms""",
+)
+def silver_dispatch(t: Tables):
+    """Every table through its cleaner, found by the table's name."""
+    day = F.lit("2024-01-01").alias("snapshot_date")
+    click = F.when(F.col("event_type") != "view", F.col("value").cast("string"))
+    fin = raw_financials(t)
+    fin = fin.select("*", *[F.lit("1").alias(n) for n in silver.FINANCIALS if n not in fin.columns])
+    raw = {
+        "attributes": raw_attributes(t).withColumn("snapshot_date", day),
+        "clickstream": t.events.select(*[click.alias(f"FE_{i}") for i in range(1, 21)], F.col("user_id").alias("Customer_ID"), day),
+        "financials": fin,
+        "lms": raw_lms(t),
+    }
+    filled = {
+        "attributes": F.count("age"),
+        "clickstream": F.count("fe_7"),
+        "financials": F.count("delay_from_due_date"),
+        "loan_type": F.count_if(F.col("`1-urgent`") > 0),
+        "lms": F.count("first_missed_date"),
+    }
+    made = {n: df for table, df in raw.items() for n, df in silver.clean(table, df).items()}
+    return union_all(
+        *[df.agg(F.count(F.lit(1)).alias("rows"), filled[n].alias("filled")).withColumn("table_name", F.lit(n)) for n, df in made.items()]
+    )
+
+
 @query(
     "schema_drift_union",
     """

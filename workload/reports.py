@@ -211,3 +211,86 @@ def run_summary(t: Tables):
         F.col("predictions.total_predictions").alias("total_predictions"),
         F.array_join("issues", "; ").alias("issues"),
     )
+
+
+RUN_SCORES_SQL = SCORES_SQL.replace("SELECT l.doc_id,", "SELECT l.doc_id, concat('run-', l.doc_id % 3) AS run_id,")
+
+
+@query(
+    "drift_history",
+    f"""
+WITH {RUN_SCORES_SQL}, {ranked_sql('run_id')}, aucs AS (SELECT run_id, {AUC_SQL} AS auc FROM ranked GROUP BY 1),
+base AS (SELECT auc AS baseline_auc FROM aucs WHERE run_id = 'run-0')
+SELECT run_id, CASE WHEN run_id <> 'run-9' THEN 'run-0' END AS model_run_id, round(auc, 9) AS auc,
+       round(baseline_auc, 9) AS baseline_auc, round(abs(auc - baseline_auc), 9) AS auc_drift,
+       CASE WHEN abs(auc - baseline_auc) > 0.01 THEN printf('HIGH AUC DRIFT: %.4f', abs(auc - baseline_auc)) END AS drift_alert
+FROM aucs, base WHERE run_id <> 'run-0'
+UNION ALL
+SELECT 'run-9', 'unknown', round(auc, 9), NULL, NULL, NULL FROM aucs WHERE run_id = 'run-1'""",
+)
+def drift_history(t: Tables):
+    """Three stored runs: one of training, two scored with its model, and one whose model is unknown. One
+    of them is stored twice."""
+    rows = t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id").select(
+        F.concat(F.lit("run-"), (F.col("doc_id") % 3).cast("string")).alias("run_id"),
+        F.col("quality").alias("label"),
+        (F.col("n_chars") / (F.col("n_chars") + F.lit(5000.0))).alias("score"),
+    )
+    aucs = cut(metrics.roc_auc(rows, "score", "label", ["run_id"]), "aucs")
+    kind = F.when(F.col("run_id") == "run-0", "training").otherwise("monitoring").alias("kind")
+    stored = aucs.select(kind, "run_id", F.lit("run-0").alias("model_run_id"), "auc")
+    path = scratch_dir(t.spark, "metrics")
+    monitoring.store_metrics(stored.withColumn("auc", F.lit(0.0)).filter("run_id = 'run-1'"), path)
+    monitoring.store_metrics(stored, path)
+    unknown = stored.filter("run_id = 'run-1'").withColumns({"run_id": F.lit("run-9"), "model_run_id": F.lit("unknown")})
+    monitoring.store_metrics(unknown, path)
+    history = monitoring.drift_history(monitoring.stored_metrics(t.spark, path), tolerance=0.01)
+    return rounded(history, ["auc", "baseline_auc", "auc_drift"], 9)
+
+
+BROKEN = "ValueError: broken file"
+
+
+@query(
+    "resume_log",
+    f"""
+WITH {PARTITIONS_SQL},
+state AS (
+  SELECT e.table_name, e.snapshot_date, coalesce(n, 0) AS rows, coalesce(n > 0 AND year(e.snapshot_date) <> 1997, false) AS first_good
+  FROM expected e LEFT JOIN present p ON e.table_name = p.table_name AND e.snapshot_date = p.snapshot_date)
+SELECT 'bronze' AS layer, table_name, snapshot_date, CASE WHEN first_good THEN 'run-1' ELSE 'run-2' END AS run_id,
+       CAST(CASE WHEN first_good THEN 1 ELSE 2 END AS INTEGER) AS attempt, rows,
+       CASE WHEN rows > 0 THEN 'processed' ELSE 'failed' END AS status,
+       CASE WHEN rows = 0 THEN concat('no rows in ', table_name, ' for ', CAST(snapshot_date AS VARCHAR)) END AS error
+FROM state""",
+)
+def resume_log(t: Tables):
+    """Two attempts: in the first the partitions of 1997 can't be read, the second takes up what failed."""
+    path = scratch_dir(t.spark, "run-log")
+    expected, present = expected_partitions(t), present_partitions(t)
+    broken = present.filter(F.year("snapshot_date") == 1997).withColumn("reason", F.lit(BROKEN))
+    runlog.append_log(runlog.partition_log(expected, present, "bronze", broken), path, "run-1", 1)
+    schema = "run_id string, attempt int, layer string, table_name string, snapshot_date date, rows long, status string, error string"
+    history = t.spark.read.schema(schema).parquet(path)
+    todo = cut(runlog.pending(expected, history, "bronze"), "pending")
+    runlog.append_log(runlog.partition_log(todo, present, "bronze"), path, "run-2", 2)
+    return runlog.latest_status(t.spark.read.schema(schema).parquet(path))
+
+
+@query(
+    "quarantined_partitions",
+    f"""
+WITH {PARTITIONS_SQL}
+SELECT table_name, count(*) FILTER (WHERE year(snapshot_date) <> 1997) AS partitions_processed,
+       count(*) FILTER (WHERE year(snapshot_date) = 1997) AS partitions_failed,
+       max(CASE WHEN year(snapshot_date) = 1997 THEN '{BROKEN}' END) AS error
+FROM present GROUP BY 1""",
+)
+def quarantined_partitions(t: Tables):
+    """Partitions that exist but are set aside with a reason, next to those that went on."""
+    present = present_partitions(t)
+    broken = present.filter(F.year("snapshot_date") == 1997).withColumn("reason", F.lit(BROKEN))
+    log = runlog.partition_log(present, present, "bronze", broken)
+    errors = log.groupBy("table_name").agg(F.max("error").alias("error"))
+    counts = runlog.table_log(log).select("table_name", "partitions_processed", "partitions_failed")
+    return counts.join(errors, "table_name")
