@@ -56,6 +56,8 @@ def _same_length(data: np.ndarray, starts: np.ndarray, n: int, seed: int) -> np.
 
 def xxh64_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
     out = np.empty(len(starts), dtype=np.uint64)
+    if not len(starts):
+        return out
     sizes = ends - starts
     order = np.argsort(sizes, kind="stable")
     kinds, first = np.unique(sizes[order], return_index=True)

@@ -64,7 +64,15 @@ def sha(x):
     return hashlib.sha256(x.encode() if isinstance(x, str) else x).hexdigest()
 
 
-@pytest.fixture(params=["docs", "hard", "none"])
+@pytest.fixture(scope="module")
+def wordless(spark):
+    """Batches that hold no word at all: each row is a partition of its own."""
+    texts = [None, "", " ", "\n\t \n", None, ""]
+    rows = [(i, t, "en", "s", 1, 2, 3, "r") for i, t in zip((1, 2, 3, 4, None, 2), texts, strict=True)]
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, len(rows)), SCHEMA)
+
+
+@pytest.fixture(params=["docs", "hard", "none", "wordless"])
 def table(request):
     return request.getfixturevalue(request.param)
 
@@ -376,8 +384,18 @@ def test_mixture_of_many_languages(spark):
     assert (b["lang_pred"], b["score"]) == ("l3", 1.0)
 
 
-def test_stages_keep_the_columns(spark, data_dir, hard, none):
-    for frame in (hard, none):
+@pytest.mark.parametrize("text", [None, "", " \n "])
+def test_one_row_without_words(spark, data_dir, text):
+    one = spark.createDataFrame([(1, text, "en", "s", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    (row,) = simhash.near_duplicates(one).collect()
+    assert (row["print"], row["component_id"]) == (0, 1)
+    for _, stage in corpus_pipeline.STAGES:
+        assert len(stage(spark, one, data_dir).collect()) <= 1
+    assert stages.simhash_near_dedup(spark, one, data_dir).count() == 1
+
+
+def test_stages_keep_the_columns(spark, data_dir, hard, none, wordless):
+    for frame in (hard, none, wordless):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, frame, data_dir).schema.simpleString() == frame.schema.simpleString()
     kept = stages.simhash_near_dedup(spark, hard, data_dir).select("doc_id", "text").collect()
