@@ -14,7 +14,8 @@ to 10^6 instead of n.
 
 Cases: null or empty text, or white space alone, has fingerprint zero, linked like any other; fewer
 words than a shingle make one shingle of what there is; null doc_id rows take part, and a component
-without any id has a null component_id; repeated rows are linked with each other.
+without any id has a null component_id; repeated rows are linked with each other; a very long text is
+hashed whole, in the memory of one task.
 """
 
 from __future__ import annotations
@@ -195,7 +196,8 @@ def links(prints: DataFrame, radius: int = 3, blocks: int | None = None, tile: i
     keys = prints.mapInArrow(_keys(m), "key binary, print long")
     pieces = keys.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("pieces"))
     piece = F.expr("cast(pmod(xxhash64(print), pieces) as int)").alias("piece")
-    tiles = keys.join(pieces, "key").select("key", piece, "print").groupBy("key", "piece")
+    # dealt anew: after the join all pieces of a key lie in one task
+    tiles = keys.join(pieces, "key").select("key", piece, "print").repartition("key", "piece").groupBy("key", "piece")
     tiles = cut(tiles.applyInArrow(_pack, "key binary, piece int, prints binary"), "tiles")
     pieces = tiles.groupBy(F.col("key").alias("other")).agg((F.max("piece") + 1).alias("pieces"))
     # each tile goes to the tiles of equal or larger keys; these stay at home
