@@ -56,24 +56,25 @@ def time_split(df: DataFrame, column: str, windows: TimeWindows, name: str = "sp
 
 def _shared(classes: DataFrame, of: str, draws: Column, name: str) -> DataFrame:
     """Column ``name``: ``draws`` shared among the classes in proportion to column ``of``, whole numbers
-    by largest remainder, equal remainders by class name. Classes are ranked here, not rows."""
-    total = classes.agg(F.sum(of).cast("double")).scalar()
-    exact = draws.cast("double") * F.col(of) / F.greatest(total, F.lit(1.0))
-    parts = classes.withColumn(name, F.floor(exact).cast("long")).withColumn("_over", exact - F.col(name))
-    left = draws - parts.agg(F.sum(name)).scalar()
+    by largest remainder, equal remainders by class name. Classes are summed and ranked here, not rows."""
+    every = Window.partitionBy()
+    exact = draws.cast("double") * F.col(of) / F.greatest(F.sum(of).over(every).cast("double"), F.lit(1.0))
+    parts = classes.withColumn("_exact", exact).withColumn(name, F.floor("_exact").cast("long"))
+    parts = parts.withColumn("_left", draws - F.sum(name).over(every)).withColumn("_over", F.col("_exact") - F.col(name))
     order = Window.orderBy(F.desc("_over"), F.col("_label").cast("string"))
-    more = (F.row_number().over(order) <= left).cast("long")
-    return parts.withColumn(name, F.col(name) + more).drop("_over")
+    more = (F.row_number().over(order) <= F.col("_left")).cast("long")
+    return parts.withColumn(name, F.col(name) + more).drop("_exact", "_left", "_over")
 
 
 def stratified_sizes(classes: DataFrame, test_size: float = 0.2, val_size: float = 0.2) -> DataFrame:
     """``_label, n_test, n_val`` for classes ``_label, _n``. The test part is cut first; the validation part
-    is cut from the rest with its share rescaled. Each part's total is rounded up. Totals are scalar
-    subqueries, so nothing runs before the result does."""
-    total = F.coalesce(classes.agg(F.sum("_n")).scalar(), F.lit(0))
-    left = total - F.ceil(F.lit(test_size) * total)
-    rest = _shared(classes, "_n", left, "_rest")
-    train = _shared(rest, "_rest", left - F.ceil(F.lit(val_size / (1 - test_size)) * left), "_train")
+    is cut from the rest with its share rescaled. Each part's total is rounded up. Totals are windows over
+    the classes, so nothing runs before the result does."""
+    total = F.sum("_n").over(Window.partitionBy())
+    left = classes.withColumn("_draws", (total - F.ceil(F.lit(test_size) * total)).cast("long"))
+    rest = _shared(left, "_n", F.col("_draws"), "_rest")
+    kept = F.col("_draws") - F.ceil(F.lit(val_size / (1 - test_size)) * F.col("_draws"))
+    train = _shared(rest.withColumn("_draws", kept.cast("long")), "_rest", F.col("_draws"), "_train")
     return train.selectExpr("_label", "_n - _rest AS n_test", "_rest - _train AS n_val")
 
 
