@@ -1,37 +1,50 @@
-"""Best-fit packing in bulk-synchronous steps.
+"""Best-fit packing in bulk-synchronous rounds.
 
-Documents are tokenized and cut into pieces. Pieces are range-sorted by length; a piece's rank is its place
-among the pieces of its length, from the counts of each (partition, length). Gaps are kept sorted too, as
-runs of sequences with one gap. A step takes all pieces of one length, longest first: they sweep to the
-successor gap (the smallest that holds them), ranks settle which piece gets which sequence, the gaps of
-the taken sequences shrink, and the step repeats until no piece of that length is left; where no gap holds
-them, new sequences open. As pieces of one length are alike, this is best-fit decreasing exactly.
+Documents are tokenized and cut into pieces. Each round range-sorts pieces and gaps (the free room of a
+sequence) together by size, longest first, and sweeps the ranges: a piece takes its successor, the smallest
+gap before it that no longer piece took. That is the matching of brackets, gaps opening and pieces closing,
+so conflicts are settled by rank: a range leaves the pieces and gaps it could not match, the counts of the
+ranges before it give each of them its level, and on a level a gap goes to the next piece. Then gaps shrink
+by what they took, and the round repeats with what is left.
 
-What reaches the driver is the number of pieces for each (partition, length): partitions plus capacity at
-most, as partitions are ranges. A step gives rank intervals, some C ln C of them for capacity C whatever
-the number of pieces, and tasks place the pieces by looking their ranks up. No piece is collected or
-shuffled again.
+A round admits pieces longer than a third (``SPREAD``) of the longest one left, so that short ones do not take
+gaps from long ones. Pieces longer than every gap open sequences: one each above half the capacity, together
+no fewer than their lengths fill. A gap of several times the longest piece is offered in several parts.
+
+Pieces and gaps stay tables; each round's are written to the shared folder. The driver sees their counts by
+length (``capacity`` rows at most) and two counts for each range. A level holds one piece and one gap of
+each range at most, a sequence ``capacity`` pieces.
 
 Cases: null or empty text is its end token alone; repeated rows are packed each; ties in length go by
-doc_id (null first), text digest and piece; an empty table gives no rows.
+doc_id (null first), text digest and piece; a very long text is encoded in one task; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from featuremart.sources.scratch import cut
 
 from . import text as tx
 from .tokens import encoder
 
+#: A round admits pieces longer than this part of the longest one left.
+SPREAD = 3
+#: Gaps are offered in parts, about this many for each piece of the round at most.
+PARTS = 4
+#: Pieces and gaps in one range of a sweep.
+EVENTS = 200_000
+
 _PIECES = "id long, dig long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -76,93 +89,130 @@ def pieces(docs: DataFrame, path: str, end: int = 2, capacity: int = 1024) -> Da
     return tx.keyed(docs).mapInArrow(_pieces(path, end, capacity), _PIECES)
 
 
-def _numbered(names: list[str]):
-    """Adds ``part`` and ``nth``, the place among the rows of one length in this sorted partition."""
+def brackets(opens: np.ndarray) -> np.ndarray:
+    """For each event the place of the one it closes: the last open one before it. -1 for opening
+    events and where nothing is open."""
+    level = np.cumsum(np.where(opens, 1, -1)) + ~opens
+    order = np.argsort(level, kind="stable")
+    kind, level = opens[order], level[order]
+    pair = kind[:-1] & ~kind[1:] & (level[:-1] == level[1:])
+    found = np.full(len(opens), -1)
+    found[order[1:][pair]] = order[:-1][pair]
+    return found
 
-    def run(batches):
-        part, length, seen = TaskContext.get().partitionId(), None, 0
-        for batch in batches:
-            sizes = batch.column("length").to_numpy()
-            if not len(sizes):
-                continue
-            heads = np.flatnonzero(np.r_[True, sizes[1:] != sizes[:-1]])
-            nth = np.arange(len(sizes)) - np.repeat(heads, np.diff(np.r_[heads, len(sizes)]))
-            if sizes[0] == length:
-                nth[: heads[1] if len(heads) > 1 else len(sizes)] += seen
-            length, seen = sizes[-1], nth[-1] + 1
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(np.full(len(sizes), part, np.int32)), pa.array(nth.astype(np.int64))], [*names, "part", "nth"]
-            )
 
-    return run
-
-
-def best_fit(counts: dict[int, int], capacity: int) -> np.ndarray:
-    """Rows ``length, first rank, first sequence, offset`` of rank intervals, sorted by length and rank:
-    the pieces of an interval go to consecutive sequences at one offset."""
-    runs: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap -> runs (first sequence, how many)
-    opened, out = 0, []
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        while left:
-            gap = min((g for g in runs if g >= length), default=None)
-            if gap is None:
-                fit = capacity // length
-                new = max(1, left // fit)  # full sequences of this length, then one for the rest
-                runs[capacity].append((opened, new))
-                opened, gap = opened + new, capacity
-            first, many = runs[gap].pop()
-            if not runs[gap]:
-                del runs[gap]
-            take = min(left, many)
-            out.append((length, rank, first, capacity - gap))
-            if take < many:
-                runs[gap].append((first + take, many - take))
-            if gap > length:
-                runs[gap - length].append((first, take))
-            left, rank = left - take, rank + take
-    return np.array(sorted(out), dtype=np.int64).reshape(-1, 4)
-
-
-def _placed(names: list[str], before: np.ndarray, plan: np.ndarray):
-    """``before``: rows ``part, length, rank of the first``, sorted."""
+def _swept(schema: pa.Schema):
+    """Sweeps one range. Pieces come out with ``_seq`` if a gap of this range took them; the other pieces and
+    the gaps left over with ``_at``, their place among them."""
 
     def run(batches):
+        part, free, lone = TaskContext.get().partitionId(), np.empty(0, np.int64), 0
         for batch in batches:
-            part, length, nth = (batch.column(c).to_numpy().astype(np.int64) for c in ("part", "length", "nth"))
-            own = np.searchsorted((before[:, 0] << 32) | before[:, 1], (part << 32) | length)
-            rank = before[own, 2] + nth
-            # the last interval of this length that begins at or before the rank
-            lo, hi = np.searchsorted(plan[:, 0], length), np.searchsorted(plan[:, 0], length, side="right")
-            while (hi - lo > 1).any():
-                mid = (lo + hi) // 2
-                low = plan[mid, 1] <= rank
-                lo, hi = np.where(low & (hi - lo > 1), mid, lo), np.where(~low & (hi - lo > 1), mid, hi)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(plan[lo, 2] + rank - plan[lo, 1]), pa.array(plan[lo, 3])], [*names, "sequence_id", "offset"]
-            )
+            opens = batch.column("_opens").to_numpy(zero_copy_only=False).astype(bool)
+            own = batch.column("_seq").fill_null(0).to_numpy()
+            found = brackets(opens)
+            got = found >= 0
+            seq = np.where(got, own[found], 0)
+            left = opens.copy()
+            left[found[got]] = False
+            # what is left of a batch is pieces, which look into the ranges before, then gaps
+            late = np.flatnonzero(~opens & ~got)
+            k = min(len(late), len(free))
+            seq[late[:k]] = free[::-1][:k]
+            got[late[:k]] = True
+            free = np.r_[free[: len(free) - k], own[left]]
+            at = np.zeros(len(opens), np.int64)
+            at[late[k:]] = lone + np.arange(len(late) - k)
+            lone += len(late) - k
+            columns = [batch.column(n) for n in schema.names[:-3]]
+            columns += [pa.array(seq, mask=~got), pa.array(np.full(len(seq), part, np.int32)), pa.array(at, mask=got)]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(~opens))
+        rest = [pa.nulls(len(free), f.type) for f in list(schema)[:-4]]
+        rest += [pa.array(np.ones(len(free), bool)), pa.array(free)]
+        rest += [pa.array(np.full(len(free), part, np.int32)), pa.array(np.arange(len(free)))]
+        yield pa.RecordBatch.from_arrays(rest, names=schema.names)
 
     return run
 
 
-def pack(rows: DataFrame, capacity: int = 1024) -> DataFrame:
-    """``rows`` (with ``id, dig, piece, length``; lengths from 1 to ``capacity``) with ``sequence_id`` and ``offset``."""
-    names = list(rows.columns)
-    order = [F.col("length").desc(), "id", "dig", "piece"]
-    ranged = rows.repartitionByRange(tx.tasks(rows), *order).sortWithinPartitions(*order)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    numbered = cut(ranged.mapInArrow(_numbered(names), f"{schema}, part int, nth long"), "ranked")
-    found = numbered.groupBy("length", "part").agg(F.count("*").alias("n")).collect()  # partitions + capacity rows at most
-    counts: dict[int, int] = defaultdict(int)
-    before = []
-    for r in sorted(found, key=lambda r: (r["length"], r["part"])):
-        before.append((r["part"], r["length"], counts[r["length"]]))
-        counts[r["length"]] += r["n"]
-    before = np.array(sorted(before), dtype=np.int64).reshape(-1, 3)
-    plan = best_fit(counts, capacity)
-    names = [*names, "part", "nth"]
-    schema = f"{schema}, part int, nth long, sequence_id long, offset long"
-    return numbered.mapInArrow(_placed(names, before, plan), schema).drop("part", "nth")
+def _matched(active: DataFrame, gaps: DataFrame, longest: int, most: int, ranges: int) -> DataFrame:
+    """``active`` with ``_seq``, the sequence whose gap took the piece, or null. A gap is offered in up to
+    ``most`` parts of the ``longest`` length."""
+    names = active.columns
+    parts = F.greatest(F.lit(1), F.least(F.lit(most), F.expr(f"_gap div {longest}")))
+    offered = gaps.withColumn("_parts", parts).withColumn("_nth", F.explode(F.expr("sequence(1, _parts)")))
+    size = F.when(F.col("_nth") > 1, F.lit(longest)).otherwise(F.col("_gap") - (F.col("_parts") - 1) * longest)
+    opening = offered.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in active.schema],
+        F.lit(True).alias("_opens"), "_seq", size.cast("long").alias("_size"), "_nth",
+    )
+    closing = active.select(
+        *names, F.lit(False).alias("_opens"), F.lit(None).cast("long").alias("_seq"),
+        F.col("length").alias("_size"), F.lit(0).alias("_nth"),
+    )
+    order = [F.desc("_size"), F.desc("_opens"), F.asc("id"), F.asc("dig"), F.asc("piece"), F.asc("_seq"), F.asc("_nth")]
+    events = opening.union(closing).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    wanted = events.select(*names, "_opens", "_seq")
+    out = T.StructType([*wanted.schema, T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType())])
+    swept = cut(wanted.mapInArrow(_swept(to_arrow_schema(out)), out), "swept")
+
+    lone = swept.where("_at IS NOT NULL")
+    counts = lone.groupBy("_part").agg(F.count_if("_opens").alias("gaps"), F.count_if(~F.col("_opens")).alias("pieces"))
+    depth, levels = 0, []
+    for r in sorted(counts.collect(), key=lambda r: r["_part"]):  # one row for each range
+        levels += [(r["_part"], False, depth, -1), (r["_part"], True, depth - r["pieces"] + 1, 1)]
+        depth += r["gaps"] - r["pieces"]
+    start = swept.sparkSession.createDataFrame(levels, "_part int, _opens boolean, _start long, _step int")
+    leveled = lone.join(F.broadcast(start), ["_part", "_opens"]).withColumn("_level", F.expr("_start + _step * _at"))
+    before = Window.partitionBy("_level").orderBy("_part", "_opens")
+    taken = leveled.withColumn("_seq", F.when(~F.col("_opens"), F.lag("_seq").over(before)))
+    return swept.where("_at IS NULL").select(*names, "_seq").union(taken.where(~F.col("_opens")).select(*names, "_seq"))
+
+
+def _by_length(df: DataFrame, name: str) -> dict[int, int]:
+    """How many rows have each length: ``capacity`` numbers at most."""
+    return {r[0]: r[1] for r in df.groupBy(name).count().collect()}
+
+
+def pack(rows: DataFrame, capacity: int = 1024, events: int = EVENTS) -> DataFrame:
+    """``rows`` (with ``id, dig, piece, length``; lengths from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
+    A range of a sweep has some ``events`` pieces and gaps."""
+    spark, names = rows.sparkSession, rows.columns
+    waiting, low = _by_length(rows, "length"), capacity  # not admitted yet: lengths up to low
+    left, many = rows.limit(0), {}
+    gaps, free = spark.createDataFrame([], "_seq long, _gap long"), {}
+    opened, placed = 0, []
+    while many or waiting:
+        longest = max([*many, *waiting])
+        bound = min(low, longest // SPREAD)
+        active = left.union(rows.where((F.col("length") > bound) & (F.col("length") <= low)))
+        for length in [n for n in waiting if n > bound]:
+            many[length] = many.get(length, 0) + waiting.pop(length)
+        low = bound
+
+        widest = max(free, default=0)
+        stuck = {n: k for n, k in many.items() if n > widest}
+        new = max(sum(k for n, k in stuck.items() if 2 * n > capacity), -(-sum(n * k for n, k in stuck.items()) // capacity))
+        if new:
+            fresh = spark.range(opened, opened + new).select(F.col("id").alias("_seq"), F.lit(capacity).cast("long").alias("_gap"))
+            gaps, opened = gaps.union(fresh), opened + new
+            free[capacity] = free.get(capacity, 0) + new
+
+        total, fitting = sum(many.values()), sum(k for g, k in free.items() if g > bound)
+        most = -(-PARTS * total // fitting)
+        found = _matched(active, gaps.where(F.col("_gap") > bound), longest, most, 1 + (total + fitting) // events)
+        settled = cut(found, "settled")
+        took, left = settled.where("_seq IS NOT NULL"), settled.where("_seq IS NULL").drop("_seq")
+        placed.append(took)
+        change = took.select("_seq", (-F.col("length")).alias("_gap"))
+        gaps = cut(gaps.union(change).groupBy("_seq").agg(F.sum("_gap").alias("_gap")).where("_gap > 0"), "gaps")
+        many, free = _by_length(left, "length"), _by_length(gaps, "_gap")
+
+    if not placed:
+        return rows.select(*names, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    inside = Window.partitionBy("_seq").orderBy(F.desc("length"), "id", "dig", "piece")
+    offset = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length")
+    return reduce(DataFrame.union, placed).select(*names, F.col("_seq").alias("sequence_id"), offset.alias("offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, end: int = 2, capacity: int = 1024) -> DataFrame:

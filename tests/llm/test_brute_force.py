@@ -216,25 +216,50 @@ def test_stored_counts_are_used_again(spark, docs, tmp_path):
     assert (again, spark.read.parquet(cache).count()) == (2 * first, size)
 
 
-def test_best_fit_is_best_fit_decreasing():
-    rng = np.random.default_rng(1)
-    for _ in range(30):
-        sizes = sorted(rng.integers(1, 40, rng.integers(1, 60)).tolist(), reverse=True)
-        plan = packing.best_fit(Counter(sizes), 39)
-        gaps = []
-        for s in sizes:
-            fit = [g for g in gaps if g >= s]
-            if fit:
-                gaps[gaps.index(min(fit))] -= s
-            else:
-                gaps.append(39 - s)
-        used = Counter()
-        for (length, rank, seq, offset), nxt in zip(plan.tolist(), [*plan.tolist()[1:], None], strict=True):
-            upto = nxt[1] if nxt and nxt[0] == length else Counter(sizes)[length]
-            for k in range(upto - rank):
-                used[seq + k] += length
-                assert offset + length <= 39
-        assert sorted(39 - u for u in used.values()) == sorted(gaps)
+def plain_sweep(events):
+    """Place of the last open gap for each piece; ``events`` are True for gaps."""
+    free, found = [], []
+    for at, opens in enumerate(events):
+        found.append(-1 if opens or not free else free.pop())
+        if opens:
+            free.append(at)
+    return found
+
+
+def test_brackets_and_sweeps_across_ranges(spark):
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        events = rng.random(rng.integers(1, 40)) < 0.5
+        assert packing.brackets(events).tolist() == plain_sweep(events)
+    sizes, gaps = rng.integers(14, 40, 150).tolist(), rng.integers(14, 40, 140).tolist()
+    active = spark.createDataFrame([(i, 0, 0, n) for i, n in enumerate(sizes)], "id long, dig long, piece int, length long")
+    table = spark.createDataFrame(list(enumerate(gaps)), "_seq long, _gap long")
+    got = {r["id"]: r["_seq"] for r in packing._matched(active, table, max(sizes), 1, 7).collect()}
+    order = sorted([(-g, 0, s) for s, g in enumerate(gaps)] + [(-n, 1, i) for i, n in enumerate(sizes)])
+    found = plain_sweep([kind == 0 for _, kind, _ in order])
+    assert got == {i: None if at < 0 else order[at][2] for (_, kind, i), at in zip(order, found, strict=True) if kind}
+
+
+@pytest.mark.parametrize("low, high, n", [(1, 40, 300), (1, 4, 300), (13, 14, 50), (39, 40, 20), (1, 2, 0)])
+def test_packing_is_close_to_best_fit_decreasing(spark, low, high, n):
+    sizes = np.random.default_rng(1).integers(low, high, n).tolist()
+    rows = spark.createDataFrame([(i // 2, 7, i % 2, s, "x") for i, s in enumerate(sizes)], "id long, dig long, piece int, length long, extra string")
+    got = packing.pack(rows, 39, events=60).collect()
+    assert Counter(r["length"] for r in got) == Counter(sizes) and len({(r["id"], r["piece"]) for r in got}) == n
+    spaces = defaultdict(list)
+    for r in got:
+        spaces[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in spaces.values():
+        ends = [a + b for a, b in sorted(parts)]
+        assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 39
+    gaps = []
+    for s in sorted(sizes, reverse=True):
+        fit = [g for g in gaps if g >= s]
+        if fit:
+            gaps[gaps.index(min(fit))] -= s
+        else:
+            gaps.append(39 - s)
+    assert len(spaces) <= len(gaps) * 1.02
 
 
 ITEMS = [(1, COPY), (2, "a"), (3, None), (4, "own LINE 3 q3"), (None, "common3 common4"), (5, "!!!"), (1, COPY)]
