@@ -1,15 +1,16 @@
 """Best-fit packing in bulk-synchronous rounds.
 
 Documents are tokenized and cut into pieces. Each round range-sorts pieces and gaps (the free room of a
-sequence) together by size, longest first, and sweeps the ranges: a piece takes its successor, the smallest
-gap before it that no longer piece took. That is the matching of brackets, gaps opening and pieces closing,
-so conflicts are settled by rank: a range leaves the pieces and gaps it could not match, the counts of the
-ranges before it give each of them its level, and on a level a gap goes to the next piece. Then gaps shrink
-by what they took, and the round repeats with what is left.
+sequence) together by length, longest first, and sweeps the ranges: a piece takes its successor, the smallest
+gap before it that holds it, and what remains of the gap goes back among the gaps of the range. Conflicts
+between ranges are settled by rank: a range leaves the pieces and gaps it could not match, the counts of
+the ranges before it give each of them its level, and on a level a gap goes to the next piece, as brackets
+match. Such a gap is offered in as many parts as hold any later piece. Then the gaps are updated, and the
+round repeats with what is left.
 
-A round admits pieces longer than a third (``SPREAD``) of the longest one left, so that short ones do not take
-gaps from long ones. Pieces longer than every gap open sequences: one each above half the capacity, together
-no fewer than their lengths fill. A gap of several times the longest piece is offered in several parts.
+A round admits pieces longer than an eighth (``SPREAD``) of the longest one left, so that short ones do not
+take gaps from long ones. Pieces longer than every gap open sequences: one each above half the capacity,
+together no fewer than their lengths fill.
 
 Pieces and gaps stay tables; each round's are written to the shared folder. The driver sees their counts by
 length (``capacity`` rows at most) and two counts for each range. A level holds one piece and one gap of
@@ -23,6 +24,7 @@ no rows.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from functools import reduce
 
 import numpy as np
@@ -39,8 +41,8 @@ from . import text as tx
 from .tokens import encoder
 
 #: A round admits pieces longer than this part of the longest one left.
-SPREAD = 3
-#: Gaps are offered in parts, about this many for each piece of the round at most.
+SPREAD = 8
+#: Gaps are offered to later ranges in parts, about this many for each piece of the round at most.
 PARTS = 4
 #: Pieces and gaps in one range of a sweep.
 EVENTS = 200_000
@@ -89,72 +91,59 @@ def pieces(docs: DataFrame, path: str, end: int = 2, capacity: int = 1024) -> Da
     return tx.keyed(docs).mapInArrow(_pieces(path, end, capacity), _PIECES)
 
 
-def brackets(opens: np.ndarray) -> np.ndarray:
-    """For each event the place of the one it closes: the last open one before it. -1 for opening
-    events and where nothing is open."""
-    level = np.cumsum(np.where(opens, 1, -1)) + ~opens
-    order = np.argsort(level, kind="stable")
-    kind, level = opens[order], level[order]
-    pair = kind[:-1] & ~kind[1:] & (level[:-1] == level[1:])
-    found = np.full(len(opens), -1)
-    found[order[1:][pair]] = order[:-1][pair]
-    return found
-
-
-def _swept(schema: pa.Schema):
+def _swept(schema: pa.Schema, most: int):
     """Sweeps one range. Pieces come out with ``_seq`` if a gap of this range took them; the other pieces and
-    the gaps left over with ``_at``, their place among them."""
+    the gaps left over, smallest last, with ``_at``, their place among them."""
 
     def run(batches):
-        part, free, lone = TaskContext.get().partitionId(), np.empty(0, np.int64), 0
+        part, lone, shortest = TaskContext.get().partitionId(), 0, 1
+        free, lengths = defaultdict(list), 0  # gap -> sequences; the bits of the gaps there are
         for batch in batches:
-            opens = batch.column("_opens").to_numpy(zero_copy_only=False).astype(bool)
-            own = batch.column("_seq").fill_null(0).to_numpy()
-            found = brackets(opens)
-            got = found >= 0
-            seq = np.where(got, own[found], 0)
-            left = opens.copy()
-            left[found[got]] = False
-            # what is left of a batch is pieces, which look into the ranges before, then gaps
-            late = np.flatnonzero(~opens & ~got)
-            k = min(len(late), len(free))
-            seq[late[:k]] = free[::-1][:k]
-            got[late[:k]] = True
-            free = np.r_[free[: len(free) - k], own[left]]
-            at = np.zeros(len(opens), np.int64)
-            at[late[k:]] = lone + np.arange(len(late) - k)
-            lone += len(late) - k
+            opens = batch.column("_opens").to_pylist()
+            taken, at = [None] * len(opens), [None] * len(opens)
+            for i, (opening, seq, n) in enumerate(
+                zip(opens, batch.column("_seq").to_pylist(), batch.column("length").to_pylist(), strict=True)
+            ):
+                shortest = n
+                if not opening:
+                    longer = lengths >> n
+                    if not longer:
+                        at[i], lone = lone, lone + 1
+                        continue
+                    gap = n + (longer & -longer).bit_length() - 1
+                    taken[i] = seq = free[gap].pop()
+                    if not free[gap]:
+                        lengths ^= 1 << gap
+                    n = gap - n
+                if n:
+                    free[n].append(seq)
+                    lengths |= 1 << n
             columns = [batch.column(n) for n in schema.names[:-3]]
-            columns += [pa.array(seq, mask=~got), pa.array(np.full(len(seq), part, np.int32)), pa.array(at, mask=got)]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(~opens))
-        rest = [pa.nulls(len(free), f.type) for f in list(schema)[:-4]]
-        rest += [pa.array(np.ones(len(free), bool)), pa.array(free)]
-        rest += [pa.array(np.full(len(free), part, np.int32)), pa.array(np.arange(len(free)))]
-        yield pa.RecordBatch.from_arrays(rest, names=schema.names)
+            columns += [pa.array(taken, pa.int64()), pa.array([part] * len(at), pa.int32()), pa.array(at, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array([not o for o in opens], pa.bool_()))
+        rest = [(g, s) for g in sorted(free, reverse=True) if g >= shortest for s in free[g] for _ in range(min(most, g // shortest))]
+        columns = [pa.nulls(len(rest), f.type) for f in list(schema)[:-4]]
+        columns += [pa.array([True] * len(rest), pa.bool_()), pa.array([s for _, s in rest], pa.int64())]
+        columns += [pa.array([part] * len(rest), pa.int32()), pa.array(range(len(rest)), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return run
 
 
-def _matched(active: DataFrame, gaps: DataFrame, longest: int, most: int, ranges: int) -> DataFrame:
-    """``active`` with ``_seq``, the sequence whose gap took the piece, or null. A gap is offered in up to
-    ``most`` parts of the ``longest`` length."""
+def _matched(active: DataFrame, gaps: DataFrame, most: int, ranges: int) -> DataFrame:
+    """``active`` with ``_seq``, the sequence whose gap took the piece, or null. A gap is offered to later
+    ranges in ``most`` parts at most."""
     names = active.columns
-    parts = F.greatest(F.lit(1), F.least(F.lit(most), F.expr(f"_gap div {longest}")))
-    offered = gaps.withColumn("_parts", parts).withColumn("_nth", F.explode(F.expr("sequence(1, _parts)")))
-    size = F.when(F.col("_nth") > 1, F.lit(longest)).otherwise(F.col("_gap") - (F.col("_parts") - 1) * longest)
-    opening = offered.select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in active.schema],
-        F.lit(True).alias("_opens"), "_seq", size.cast("long").alias("_size"), "_nth",
-    )
-    closing = active.select(
-        *names, F.lit(False).alias("_opens"), F.lit(None).cast("long").alias("_seq"),
-        F.col("length").alias("_size"), F.lit(0).alias("_nth"),
-    )
-    order = [F.desc("_size"), F.desc("_opens"), F.asc("id"), F.asc("dig"), F.asc("piece"), F.asc("_seq"), F.asc("_nth")]
+    opening = gaps.select(
+        *[(F.col("_gap") if f.name == "length" else F.lit(None)).cast(f.dataType).alias(f.name) for f in active.schema],
+        F.lit(True).alias("_opens"),
+        "_seq",
+    )
+    closing = active.select(*names, F.lit(False).alias("_opens"), F.lit(None).cast("long").alias("_seq"))
+    order = [F.desc("length"), F.desc("_opens"), F.asc("id"), F.asc("dig"), F.asc("piece"), F.asc("_seq")]
     events = opening.union(closing).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    wanted = events.select(*names, "_opens", "_seq")
-    out = T.StructType([*wanted.schema, T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType())])
-    swept = cut(wanted.mapInArrow(_swept(to_arrow_schema(out)), out), "swept")
+    out = T.StructType([*events.schema, T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType())])
+    swept = cut(events.mapInArrow(_swept(to_arrow_schema(out), most), out), "swept")
 
     lone = swept.where("_at IS NOT NULL")
     counts = lone.groupBy("_part").agg(F.count_if("_opens").alias("gaps"), F.count_if(~F.col("_opens")).alias("pieces"))
@@ -200,7 +189,7 @@ def pack(rows: DataFrame, capacity: int = 1024, events: int = EVENTS) -> DataFra
 
         total, fitting = sum(many.values()), sum(k for g, k in free.items() if g > bound)
         most = -(-PARTS * total // fitting)
-        found = _matched(active, gaps.where(F.col("_gap") > bound), longest, most, 1 + (total + fitting) // events)
+        found = _matched(active, gaps.where(F.col("_gap") > bound), most, 1 + (total + fitting) // events)
         settled = cut(found, "settled")
         took, left = settled.where("_seq IS NOT NULL"), settled.where("_seq IS NULL").drop("_seq")
         placed.append(took)

@@ -216,28 +216,29 @@ def test_stored_counts_are_used_again(spark, docs, tmp_path):
     assert (again, spark.read.parquet(cache).count()) == (2 * first, size)
 
 
-def plain_sweep(events):
-    """Place of the last open gap for each piece; ``events`` are True for gaps."""
-    free, found = [], []
-    for at, opens in enumerate(events):
-        found.append(-1 if opens or not free else free.pop())
-        if opens:
-            free.append(at)
-    return found
-
-
-def test_brackets_and_sweeps_across_ranges(spark):
+@pytest.mark.parametrize("ranges", [1, 7])
+def test_sweeps_match_pieces_with_gaps(spark, ranges):
     rng = np.random.default_rng(2)
-    for _ in range(50):
-        events = rng.random(rng.integers(1, 40)) < 0.5
-        assert packing.brackets(events).tolist() == plain_sweep(events)
-    sizes, gaps = rng.integers(14, 40, 150).tolist(), rng.integers(14, 40, 140).tolist()
+    sizes, gaps = rng.integers(9, 40, 150).tolist(), rng.integers(14, 40, 90).tolist()
     active = spark.createDataFrame([(i, 0, 0, n) for i, n in enumerate(sizes)], "id long, dig long, piece int, length long")
     table = spark.createDataFrame(list(enumerate(gaps)), "_seq long, _gap long")
-    got = {r["id"]: r["_seq"] for r in packing._matched(active, table, max(sizes), 1, 7).collect()}
-    order = sorted([(-g, 0, s) for s, g in enumerate(gaps)] + [(-n, 1, i) for i, n in enumerate(sizes)])
-    found = plain_sweep([kind == 0 for _, kind, _ in order])
-    assert got == {i: None if at < 0 else order[at][2] for (_, kind, i), at in zip(order, found, strict=True) if kind}
+    got = {r["id"]: r["_seq"] for r in packing._matched(active, table, 4, ranges).collect()}
+    left = Counter(dict(enumerate(gaps)))
+    for i, seq in got.items():
+        left[seq if seq is not None else "none"] -= sizes[i]
+    assert len(got) == 150 and min(left[s] for s in range(90)) >= 0
+    lone = [n for i, n in enumerate(sizes) if got[i] is None]
+    assert not [n for n in lone if any(left[s] == g >= n for s, g in enumerate(gaps))]
+    if ranges == 1:  # best-fit decreasing
+        plain, none = list(gaps), []
+        for n in sorted(sizes, reverse=True):
+            fit = [g for g in plain if g >= n]
+            if fit:
+                plain[plain.index(min(fit))] -= n
+            else:
+                none.append(n)
+        assert sorted(plain) == sorted(left[s] for s in range(90))
+        assert Counter(none) == Counter(lone)
 
 
 @pytest.mark.parametrize("low, high, n", [(1, 40, 300), (1, 4, 300), (13, 14, 50), (39, 40, 20), (1, 2, 0)])
