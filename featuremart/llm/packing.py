@@ -8,8 +8,8 @@ the ranges before it give each of them its level, and on a level a gap goes to t
 match. Such a gap is offered in as many parts as hold any later piece. Then the gaps are updated, and the
 round repeats with what is left.
 
-A round admits pieces longer than an eighth (``SPREAD``) of the longest one left, so that short ones do not
-take gaps from long ones. Pieces longer than every gap open sequences: one each above half the capacity,
+The first round has the pieces longer than an eighth (``SPREAD``) of the capacity, each later one admits those
+longer than an eighth of that bound, so that short ones do not take gaps from long ones. Pieces longer than every gap open sequences: one each above half the capacity,
 together no fewer than their lengths fill.
 
 Pieces and gaps stay tables; each round's are written to the shared folder. The driver sees their counts by
@@ -40,10 +40,10 @@ from featuremart.sources.scratch import cut
 from . import text as tx
 from .tokens import encoder
 
-#: A round admits pieces longer than this part of the longest one left.
+#: Each round admits pieces longer than this part of the bound of the round before.
 SPREAD = 8
 #: Gaps are offered to later ranges in parts, about this many for each piece of the round at most.
-PARTS = 4
+PARTS = 16
 #: Pieces and gaps in one range of a sweep.
 EVENTS = 200_000
 
@@ -91,7 +91,7 @@ def pieces(docs: DataFrame, path: str, end: int = 2, capacity: int = 1024) -> Da
     return tx.keyed(docs).mapInArrow(_pieces(path, end, capacity), _PIECES)
 
 
-def _swept(schema: pa.Schema, most: int):
+def _swept(schema: pa.Schema, longest: int, most: int):
     """Sweeps one range. Pieces come out with ``_seq`` if a gap of this range took them; the other pieces and
     the gaps left over, smallest last, with ``_at``, their place among them."""
 
@@ -121,7 +121,8 @@ def _swept(schema: pa.Schema, most: int):
             columns = [batch.column(n) for n in schema.names[:-3]]
             columns += [pa.array(taken, pa.int64()), pa.array([part] * len(at), pa.int32()), pa.array(at, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array([not o for o in opens], pa.bool_()))
-        rest = [(g, s) for g in sorted(free, reverse=True) if g >= shortest for s in free[g] for _ in range(min(most, g // shortest))]
+        hold = min(longest, shortest)  # no later piece is longer
+        rest = [(g, s) for g in sorted(free, reverse=True) if g >= shortest for s in free[g] for _ in range(min(most, g // hold))]
         columns = [pa.nulls(len(rest), f.type) for f in list(schema)[:-4]]
         columns += [pa.array([True] * len(rest), pa.bool_()), pa.array([s for _, s in rest], pa.int64())]
         columns += [pa.array([part] * len(rest), pa.int32()), pa.array(range(len(rest)), pa.int64())]
@@ -130,9 +131,9 @@ def _swept(schema: pa.Schema, most: int):
     return run
 
 
-def _matched(active: DataFrame, gaps: DataFrame, most: int, ranges: int) -> DataFrame:
-    """``active`` with ``_seq``, the sequence whose gap took the piece, or null. A gap is offered to later
-    ranges in ``most`` parts at most."""
+def _matched(active: DataFrame, gaps: DataFrame, longest: int, most: int, ranges: int) -> DataFrame:
+    """``active`` (pieces up to ``longest``) with ``_seq``, the sequence whose gap took the piece, or null. A gap
+    is offered to later ranges in ``most`` parts at most."""
     names = active.columns
     opening = gaps.select(
         *[(F.col("_gap") if f.name == "length" else F.lit(None)).cast(f.dataType).alias(f.name) for f in active.schema],
@@ -143,7 +144,7 @@ def _matched(active: DataFrame, gaps: DataFrame, most: int, ranges: int) -> Data
     order = [F.desc("length"), F.desc("_opens"), F.asc("id"), F.asc("dig"), F.asc("piece"), F.asc("_seq")]
     events = opening.union(closing).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     out = T.StructType([*events.schema, T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType())])
-    swept = cut(events.mapInArrow(_swept(to_arrow_schema(out), most), out), "swept")
+    swept = cut(events.mapInArrow(_swept(to_arrow_schema(out), longest, most), out), "swept")
 
     lone = swept.where("_at IS NOT NULL")
     counts = lone.groupBy("_part").agg(F.count_if("_opens").alias("gaps"), F.count_if(~F.col("_opens")).alias("pieces"))
@@ -172,12 +173,13 @@ def pack(rows: DataFrame, capacity: int = 1024, events: int = EVENTS) -> DataFra
     gaps, free = spark.createDataFrame([], "_seq long, _gap long"), {}
     opened, placed = 0, []
     while many or waiting:
-        longest = max([*many, *waiting])
-        bound = min(low, longest // SPREAD)
+        bound = low // SPREAD
         active = left.union(rows.where((F.col("length") > bound) & (F.col("length") <= low)))
         for length in [n for n in waiting if n > bound]:
             many[length] = many.get(length, 0) + waiting.pop(length)
         low = bound
+        if not many:
+            continue
 
         widest = max(free, default=0)
         stuck = {n: k for n, k in many.items() if n > widest}
@@ -187,9 +189,10 @@ def pack(rows: DataFrame, capacity: int = 1024, events: int = EVENTS) -> DataFra
             gaps, opened = gaps.union(fresh), opened + new
             free[capacity] = free.get(capacity, 0) + new
 
-        total, fitting = sum(many.values()), sum(k for g, k in free.items() if g > bound)
+        shortest, longest = min(many), max(many)
+        total, fitting = sum(many.values()), sum(k for g, k in free.items() if g >= shortest)
         most = -(-PARTS * total // fitting)
-        found = _matched(active, gaps.where(F.col("_gap") > bound), most, 1 + (total + fitting) // events)
+        found = _matched(active, gaps.where(F.col("_gap") >= shortest), longest, most, 1 + (total + fitting) // events)
         settled = cut(found, "settled")
         took, left = settled.where("_seq IS NOT NULL"), settled.where("_seq IS NULL").drop("_seq")
         placed.append(took)

@@ -222,7 +222,7 @@ def test_sweeps_match_pieces_with_gaps(spark, ranges):
     sizes, gaps = rng.integers(9, 40, 150).tolist(), rng.integers(14, 40, 90).tolist()
     active = spark.createDataFrame([(i, 0, 0, n) for i, n in enumerate(sizes)], "id long, dig long, piece int, length long")
     table = spark.createDataFrame(list(enumerate(gaps)), "_seq long, _gap long")
-    got = {r["id"]: r["_seq"] for r in packing._matched(active, table, 4, ranges).collect()}
+    got = {r["id"]: r["_seq"] for r in packing._matched(active, table, max(sizes), 4, ranges).collect()}
     left = Counter(dict(enumerate(gaps)))
     for i, seq in got.items():
         left[seq if seq is not None else "none"] -= sizes[i]
