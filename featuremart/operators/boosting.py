@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import json
 import logging
+import re
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import predicted_class
 from .metrics import confusion, roc_auc, with_rates
+from .schema import quoted
 
 log = logging.getLogger(__name__)
 
@@ -78,6 +81,33 @@ def add_scores(model, df: DataFrame) -> DataFrame:
     return scored.drop("rawPrediction", "probability", "prediction")
 
 
+def prefix_scores(model, df: DataFrame, counts: Sequence[int]) -> DataFrame:
+    """Each row once for every one of ``counts``, in column ``n_estimators``, with the score of the model's first
+    trees alone. Boosting adds trees one by one, so these are the scores of a model fitted with that many.
+
+    The model gives each row's leaf of every tree; the leaves' values are looked up and added.
+    """
+    leaves = [
+        [weight * float(x) for x in re.findall(r"Predict: (\S+)", tree.toDebugString)]
+        for tree, weight in zip(model.trees, model.treeWeights, strict=True)
+    ]
+    values = F.from_json(F.lit(json.dumps(leaves)), "array<array<double>>")
+    steps = F.transform(
+        vector_to_array("_leaves"), lambda leaf, i: F.get(F.get(values, i.cast("int")), leaf.cast("int"))
+    )
+    sums = [
+        F.struct(
+            F.lit(n).alias("n_estimators"),
+            F.aggregate(F.slice("_steps", 1, n), F.lit(0.0), lambda a, x: a + x).alias("margin"),
+        )
+        for n in counts
+    ]
+    placed = model.transform(df, {model.leafCol: "_leaves"}).select(*[quoted(c) for c in df.columns], steps.alias("_steps"))
+    each = placed.withColumn("_sum", F.explode(F.array(*sums)))
+    score = 1 / (1 + F.exp(-2 * F.col("_sum.margin")))
+    return each.select(*[quoted(c) for c in df.columns], "_sum.n_estimators", score.alias(SCORE))
+
+
 def evaluate(scored: DataFrame, threshold: float = 0.5, label: str = LABEL) -> DataFrame:
     """One row: f1_score, f15_score, auc_score, threshold."""
     judged = scored.withColumn("_predicted", predicted_class(F.col(SCORE), threshold))
@@ -117,32 +147,44 @@ def search(
     validation F1 wins, the first among equals. Its model is fitted on the training rows only and is
     handed back, so it need not be fitted again; the other models are let go.
 
-    Each fit is a set of Spark jobs; a few candidates run at once, and both parts are scored in one
-    pass. The rows are read once per candidate, so hand in a written table.
+    Points that differ in the number of trees only share one fit with the most trees, whose first trees are
+    scored by themselves; a winner with fewer is fitted once more. Each fit is a set of Spark jobs; a few
+    run at once, and both parts are scored in one pass. The rows are read once per fit, so hand in a
+    written table.
     """
     usable = supported({k: None for k in grid})
     points = grid_points({k: grid[k] for k in usable})
     train_rows = rows.filter(F.col(split) == "train")
     judged_rows = rows.filter(F.col(split).isin("train", "val"))
     lock, best = Lock(), {}
-
-    def run(i):
-        model = train(train_rows, points[i], label)
-        judged = add_scores(model, judged_rows).withColumn("_predicted", predicted_class(F.col(SCORE), 0.5))
-        rates = with_rates(confusion(judged, label, "_predicted", [split])).select(split, "f1_score").collect()
-        f1 = {r[split]: r["f1_score"] for r in rates}
-        rank = (f1.get("val", -1.0), -i)
+    trees = [int(p.get("n_estimators", BASELINE["n_estimators"])) for p in points]
+    alike: dict[tuple, list[int]] = {}
+    for i, p in enumerate(points):
+        alike.setdefault(tuple((k, v) for k, v in p.items() if k != "n_estimators"), []).append(i)
+
+    def run(own):
+        most = max(own, key=lambda i: trees[i])
+        model = train(train_rows, points[most], label)
+        scored = prefix_scores(model, judged_rows, sorted({trees[i] for i in own}))
+        judged = scored.withColumn("_predicted", predicted_class(F.col(SCORE), 0.5))
+        keys = [split, "n_estimators"]
+        rates = with_rates(confusion(judged, label, "_predicted", keys)).select(*keys, "f1_score").collect()
+        f1 = {(r[split], r["n_estimators"]): r["f1_score"] for r in rates}
+        first = max(own, key=lambda i: (f1.get(("val", trees[i]), -1.0), -i))
+        rank = (f1.get(("val", trees[first]), -1.0), -first)
         with lock:
             if not best or rank > best["rank"]:
-                best.update(rank=rank, model=model)
-        return i, {k: str(v) for k, v in points[i].items()}, f1.get("train"), f1.get("val")
+                best.update(rank=rank, model=model if trees[first] == trees[most] else None)
+        return [(i, {k: str(v) for k, v in points[i].items()}, f1.get(("train", trees[i])), f1.get(("val", trees[i]))) for i in own]
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        table = list(pool.map(run, range(len(points))))
+        table = sorted((row for part in pool.map(run, alike.values()) for row in part), key=lambda row: row[0])
+    winner = points[-best["rank"][1]]
+    model = best["model"] or train(train_rows, winner, label)
     candidates = rows.sparkSession.createDataFrame(
         table, "candidate int, params map<string,string>, train_f1 double, val_f1 double"
     )
-    return SearchResult(candidates, points[-best["rank"][1]], best["model"])
+    return SearchResult(candidates, winner, model)
 
 
 def best_candidate(results: DataFrame) -> dict:

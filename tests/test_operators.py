@@ -8,7 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from featuremart.operators import clipping, encoding, imputation, pairing, quantiles, scaling, schema, splits, tokens
+from featuremart.operators import boosting, clipping, encoding, imputation, pairing, quantiles, scaling, schema, splits, tokens
 from featuremart.operators.pointintime import point_in_time_means
 
 D = dt.date
@@ -386,3 +386,26 @@ def test_every_group_has_buckets_of_its_own(spark):
         last[r["k"]] = r["_bucket"]
     alone = bucketed_scores(counts.select("_s"), buckets=16)
     assert alone.count() == len(data) and alone.select("_bucket").distinct().count() > 8
+
+
+def test_first_trees_score_like_a_shorter_fit(spark):
+    rows = spark.range(300).selectExpr(
+        "cast(hash(id) % 7 + id % 5 > 2 as int) AS label", "double(hash(id) % 7) AS a", "double(id % 5) AS b", "id",
+        "IF(id % 3 = 0, 'val', 'train') AS split",
+    )
+    rows = boosting.assemble(rows, ["a", "b"]).select("id", "label", "split", "features")
+    params = {"max_depth": 2, "subsample": 0.8, "learning_rate": 0.3}
+    longest = boosting.train(rows, {**params, "n_estimators": 4})
+    got = {(r["n_estimators"], r["id"]): r[boosting.SCORE] for r in boosting.prefix_scores(longest, rows, [1, 2, 4]).collect()}
+    for n in (1, 2, 4):
+        own = boosting.add_scores(boosting.train(rows, {**params, "n_estimators": n}), rows).collect()
+        assert all(abs(got[n, r["id"]] - r[boosting.SCORE]) < 1e-12 for r in own)
+    assert len(got) == 900
+
+    grid = {"max_depth": [1, 2], "n_estimators": [4, 1, 2]}
+    found = boosting.search(rows, grid)
+    table = found.candidates.collect()
+    assert [r["candidate"] for r in table] == list(range(6))
+    best = max(table, key=lambda r: (r["val_f1"], -r["candidate"]))
+    assert {k: str(v) for k, v in found.best_params.items()} == best["params"]
+    assert len(found.best_model.trees) == found.best_params["n_estimators"]
