@@ -62,7 +62,7 @@ def trimmed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
 def _long_lines(least: int):
     def run(batches):
         one, two = tx.SpanHash(11), tx.SpanHash(12)
-        for rows, data, offsets in tx.chunks(batches):
+        for rows, data, offsets in tx.chunks(batches, limit=tx.SMALL_CHUNK):
             starts, ends, edge = lines_of(data, offsets)
             s, e = trimmed(data, starts, ends)
             points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
@@ -211,7 +211,7 @@ def keep_bitmaps(docs: DataFrame, least_docs: int = 5, least_points: int = 40) -
 
 def _kept_lines(digest: bool):
     def run(batches):
-        for rows, data, offsets in tx.chunks(batches):
+        for rows, data, offsets in tx.chunks(batches, limit=tx.SMALL_CHUNK):
             starts, ends, edge = lines_of(data, offsets)
             stay = np.ones(len(starts), dtype=bool)
             for i, packed in enumerate(rows.column("bitmap").to_pylist()):

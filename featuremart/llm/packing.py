@@ -53,7 +53,7 @@ _PIECES = "id long, dig long, piece int, start long, length long, ids_crc32 long
 def _pieces(path: str, end: int, capacity: int):
     def run(batches):
         encode = encoder(path).encode
-        for rows, data, offsets in tx.chunks(batches):
+        for rows, data, offsets in tx.chunks(batches, limit=tx.SMALL_CHUNK):
             ids, at = encode(data, offsets)
             n = np.diff(at) + 1
             many = -(-n // capacity)

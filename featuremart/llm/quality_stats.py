@@ -81,7 +81,7 @@ def counts_of(data: np.ndarray, offsets: np.ndarray, hasher: tx.SpanHash) -> dic
 
 def counting(batches):
     hasher = tx.SpanHash(7)
-    for rows, data, offsets in tx.chunks(batches):
+    for rows, data, offsets in tx.chunks(batches, limit=tx.SMALL_CHUNK):
         counts = counts_of(data, offsets, hasher)
         rest = [(f.name, c) for f, c in zip(rows.schema, rows.columns, strict=True) if f.name != "text"]
         yield pa.RecordBatch.from_arrays(

@@ -40,7 +40,7 @@ TILE = 4096
 
 def _fingerprints(shingle: int):
     def run(batches):
-        for rows, data, offsets in tx.chunks(batches, limit=tx.CHUNK // 2):
+        for rows, data, offsets in tx.chunks(batches, limit=tx.SMALL_CHUNK):
             starts, ends, _ = tx.words_of(data, offsets)
             low, edges = tx.joined_words(tx.LOWER[data], offsets, starts, ends)
             s, e, first = tx.words_of(low, edges)

@@ -21,7 +21,8 @@ from . import text as tx
 
 #: Pieces that a worker remembers; beyond that it starts anew.
 MOST_PIECES = 2_500_000
-_SLOTS_LOG2 = 22
+#: Slots of the table at first, as a power of two; it doubles when half full.
+_SLOTS_LOG2 = 16
 SPACE, LETTER, NUMBER, MARK, OTHER = range(5)
 _LAST = 0x250
 
@@ -77,23 +78,27 @@ class _Known:
     """Piece hashes -> numbers of remembered pieces: open addressing over arrays."""
 
     def __init__(self):
-        self.keys = np.zeros(1 << _SLOTS_LOG2, dtype=np.uint64)
-        self.values = np.zeros(1 << _SLOTS_LOG2, dtype=np.int32)
+        self._clear(_SLOTS_LOG2)
         self.n = self.used = 0
         self.sizes = np.zeros(1 << 12, dtype=np.int64)
         self.at = np.zeros(1 << 12, dtype=np.int64)
         self.ids = np.zeros(1 << 14, dtype=np.uint32)
 
+    def _clear(self, bits: int) -> None:
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.zeros(1 << bits, dtype=np.uint64)
+        self.values = np.zeros(1 << bits, dtype=np.int32)
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         out = np.full(len(keys), -1, dtype=np.int64)
-        slot = (keys >> np.uint64(64 - _SLOTS_LOG2)).astype(np.int64)
+        slot = (keys >> self.shift).astype(np.int64)
         todo = np.arange(len(keys))
         while len(todo):
             there = self.keys[slot]
             hit = there == keys[todo]
             out[todo[hit]] = self.values[slot[hit]]
             go = ~hit & (there != 0)
-            todo, slot = todo[go], (slot[go] + 1) & ((1 << _SLOTS_LOG2) - 1)
+            todo, slot = todo[go], (slot[go] + 1) & self.last
         return out
 
     def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
@@ -108,14 +113,22 @@ class _Known:
         self.at[number] = self.used + np.r_[0, np.cumsum(sizes)[:-1]]
         self.ids[self.used : self.used + len(flat)] = flat
         self.n, self.used = self.n + len(keys), self.used + len(flat)
-        slot = (keys >> np.uint64(64 - _SLOTS_LOG2)).astype(np.int64)
+        if 2 * self.n > len(self.keys):
+            held = np.flatnonzero(self.keys)
+            old, numbers = self.keys[held], self.values[held]
+            self._clear((2 * self.n).bit_length())
+            self._place(old, numbers)
+        self._place(keys, number)
+
+    def _place(self, keys: np.ndarray, number: np.ndarray) -> None:
+        slot = (keys >> self.shift).astype(np.int64)
         todo = np.arange(len(keys))
         while len(todo):
             free = self.keys[slot] == 0
             self.keys[slot[free]] = keys[todo[free]]
             won = self.keys[slot] == keys[todo]
             self.values[slot[won]] = number[todo[won]]
-            todo, slot = todo[~won], (slot[~won] + 1) & ((1 << _SLOTS_LOG2) - 1)
+            todo, slot = todo[~won], (slot[~won] + 1) & self.last
 
 
 class Encoder:
