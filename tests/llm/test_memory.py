@@ -8,12 +8,12 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from featuremart.llm import packing, quality_stats, tokens
+from featuremart.llm import long_matches, packing, quality_stats, tokens
 
 RNG = random.Random(5)
 WORDS = ["".join(RNG.choices("abcdefghijklmnopqrstuvwxyz", k=RNG.randint(2, 9))) for _ in range(5_000)]
 TEXTS = [" ".join(RNG.choices(WORDS, k=400)) for _ in range(3_000)]  # some 8 MB
-RUNS = {"counting": quality_stats.counting, "pieces": packing._pieces(public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)}
+RUNS = {"segments": long_matches._segments(400), "counting": quality_stats.counting, "pieces": packing._pieces(public_tokenizers.path("byte_bpe_50k.json"), 2, 1024)}
 
 
 def batch(texts):
