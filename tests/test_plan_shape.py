@@ -44,3 +44,9 @@ def test_trees_score_every_row(spark, data_dir):
     assert QUERIES["grid_search"](spark, data_dir).count() == 4
     top = QUERIES["feature_importance_topk"](spark, data_dir).collect()
     assert len(top) == 3 and top[0]["importance"] >= top[1]["importance"] >= top[2]["importance"]
+
+
+def test_instalments_are_dealt_by_loan(spark, data_dir):
+    """Also where the join is a broadcast: few row groups would mean as few tasks."""
+    text = plan(spark, data_dir, "label_store")
+    assert "BroadcastHashJoin" in text and re.search(r"Exchange hashpartitioning\(l_orderkey#\d+L?, \d+\), REPARTITION_BY_COL", text)

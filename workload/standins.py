@@ -167,7 +167,8 @@ labels_built AS (
 def raw_lms(t: Tables) -> DataFrame:
     text = lambda name: F.col(name).cast("string")
     day = lambda name: F.col(name).cast("date").cast("string")
-    joined = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # dealt by key: a table in few row groups would leave the join and the cleaning to as few tasks
+    joined = t.lineitem.repartition("l_orderkey").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(
         text("l_orderkey").alias("loan_id"),
         text("o_custkey").alias("customer_id"),
