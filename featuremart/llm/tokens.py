@@ -2,8 +2,9 @@
 
 The library's split into pieces (contractions, a space with letters, digits or marks, white space) is
 found for many texts at once from their code points; each distinct piece is encoded once by the library's
-model and remembered by a worker, up to a bound. Ids equal those of encoding each text as a whole, since
-the model never merges across pieces. A text that holds a special token's string, or a code point whose
+model and remembered by a worker: when a table is full, a new one takes over the pieces that are met again
+from it, so a worker holds two tables at most. Ids equal those of encoding each text as a whole, since the
+model never merges across pieces. A text that holds a special token's string, or a code point whose
 class the table below doesn't settle (controls, unusual white space, beyond U+024F), is encoded by the
 library as a whole.
 """
@@ -19,8 +20,8 @@ import numpy as np
 
 from . import text as tx
 
-#: Pieces that a worker remembers; beyond that it starts anew.
-MOST_PIECES = 2_500_000
+#: Pieces in a worker's table; beyond that a new table begins and the full one becomes the one before.
+MOST_PIECES = 1 << 18
 #: Slots of the table at first, as a power of two; it doubles when half full.
 _SLOTS_LOG2 = 16
 SPACE, LETTER, NUMBER, MARK, OTHER = range(5)
@@ -101,6 +102,9 @@ class _Known:
             todo, slot = todo[go], (slot[go] + 1) & self.last
         return out
 
+    def ids_at(self, number: np.ndarray) -> list[list[int]]:
+        return [self.ids[a : a + n].tolist() for a, n in zip(self.at[number].tolist(), self.sizes[number].tolist(), strict=True)]
+
     def add(self, keys: np.ndarray, ids: list[list[int]]) -> None:
         sizes = np.array([len(x) for x in ids], dtype=np.int64)
         flat = np.array([i for x in ids for i in x], dtype=np.uint32)
@@ -143,7 +147,7 @@ class Encoder:
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.letters = {b: _byte_letter(b) for b in range(256)}
         self.hasher = tx.SpanHash(21, _LAST)
-        self.known = _Known()
+        self.known, self.before = _Known(), _Known()
 
     def _piece_ids(self, pieces: list[str]) -> list[list[int]]:
         tokenize, letters = self.model.tokenize, self.letters
@@ -171,11 +175,14 @@ class Encoder:
             at = np.flatnonzero(number < 0)
             new, one = np.unique(keys[at], return_index=True)
             if self.known.n + len(new) > MOST_PIECES:
-                self.known = _Known()
+                self.before, self.known = self.known, _Known()
                 at = np.arange(len(keys))
                 new, one = np.unique(keys, return_index=True)
             one = at[one]
-            self.known.add(new, self._piece_ids([text[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)]))
+            old = self.before.find(new)
+            again, first_time = old >= 0, one[old < 0]
+            self.known.add(new[again], self.before.ids_at(old[again]))
+            self.known.add(new[~again], self._piece_ids([text[a:b] for a, b in zip(starts[first_time].tolist(), ends[first_time].tolist(), strict=True)]))
             number = self.known.find(keys)
         sizes = self.known.sizes[number]
         upto = np.r_[0, np.cumsum(sizes)]

@@ -43,3 +43,31 @@ def test_remembered_pieces_grow_with_their_number():
     assert (known.ids[known.at[number]] == keys % np.uint64(1000)).all() and (known.sizes[number] == 1).all()
     assert (known.find(keys + np.uint64(2)) == -1).all()
     assert 2 * known.n <= len(known.keys) <= 4 * known.n
+
+
+def test_remembered_pieces_are_bounded_and_ids_stay_the_same(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    given = [t.encode() for t in TEXTS[:40]] + [f"w{i}x y{i % 700}".encode() for i in range(20_000)]
+    given += given[:40]
+    data, at = np.frombuffer(b"".join(given), dtype=np.uint8), np.cumsum([0, *map(len, given)])
+    whole, edges = tokens.Encoder(path).encode(data, at)
+    monkeypatch.setattr(tokens, "MOST_PIECES", 12_000)
+    small, got = tokens.Encoder(path), []
+    for a in range(0, len(given), 500):
+        part = at[a : a + 501]
+        got.append(small.encode(data[part[0] : part[-1]], part - part[0])[0])
+        assert small.known.n <= 12_000 and small.before.n <= 12_000
+    assert small.before.n and (np.concatenate(got) == whole).all() and edges[-1] == len(whole)
+
+
+def test_a_worker_holds_little_however_many_pieces_it_met():
+    tracemalloc.start()
+    try:
+        encoder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+        encoder._piece_ids = lambda pieces: [[7, 8, 9, 10]] * len(pieces)  # only what is remembered counts here
+        for a in range(0, 2_000_000, 25_000):
+            text = " ".join(f"{i:07d}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(a, a + 25_000)).encode()
+            encoder.encode(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]), ids=False)
+        assert tracemalloc.get_traced_memory()[0] < 100e6
+    finally:
+        tracemalloc.stop()
